@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stepmill.plans.pipeline import Step
-from stepmill.session import MAX_BROADCAST_ROWS, quoted, require_columns
+from stepmill.session import MAX_BROADCAST_ROWS, quoted, require_columns, small_table
 
 
 def keep_loaded_pages(sentinel: str, html_column: str = "html") -> Step:
@@ -45,7 +46,11 @@ def skip_positions(
         require_columns(df, [category_column, position_column])
         if not pairs:
             return df
-        skips = df.sparkSession.createDataFrame(pairs, "__category string, __position int")
+        skips = small_table(
+            df.sparkSession,
+            {"__category": [c for c, _ in pairs], "__position": [p for _, p in pairs]},
+            {"__category": pa.string(), "__position": pa.int32()},
+        )
         if len(pairs) <= MAX_BROADCAST_ROWS:
             skips = F.broadcast(skips)
         return df.join(

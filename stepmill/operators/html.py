@@ -118,7 +118,7 @@ def _raw_text_udf(
     @F.arrow_udf(T.ArrayType(T.ArrayType(T.StringType())))
     def raw_texts(pages: pa.Array) -> pa.Array:
         return pa.array(
-            [None if page is None else page_texts(page) for page in pages.to_pylist()], type=out_type
+            [page_texts(page.as_py()) if page.is_valid else None for page in pages], type=out_type
         )
 
     return raw_texts
@@ -179,8 +179,8 @@ def html_text(c: Column, text_separator: str = " ", strip_text: bool = True) ->
     def page_text(pages: pa.Array) -> pa.Array:
         return pa.array(
             [
-                None if page is None else parse_html(page).text(text_separator, strip_text)
-                for page in pages.to_pylist()
+                parse_html(page.as_py()).text(text_separator, strip_text) if page.is_valid else None
+                for page in pages
             ],
             type=pa.string(),
         )

@@ -9,12 +9,14 @@ key, so a leading key that a third of the rows share is still cut into many part
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stepmill.plans.pipeline import Step
-from stepmill.session import materialise, quoted, require_batch, require_columns
+from stepmill.session import materialise, quoted, require_batch, require_columns, small_table
 
 #: Up to this many leading rows a top-k (each task keeps its best rows) beats sorting everything.
 TOP_K_ROWS = 100_000
@@ -41,11 +43,13 @@ def with_row_index(order_by: Sequence[str], name: str = "index") -> Step:
         )
         # One row per partition, at most spark.sql.shuffle.partitions of them.
         counts = placed.groupBy(_PART).count().collect()
-        starts, total = [], 0
-        for part, rows in sorted((r[_PART], r["count"]) for r in counts):
-            starts.append((part, total))
-            total += rows
-        offsets = df.sparkSession.createDataFrame(starts, f"{_PART} int, __start bigint")
+        parts = sorted((r[_PART], r["count"]) for r in counts)
+        starts = list(accumulate((rows for _, rows in parts), initial=0))[:-1]
+        offsets = small_table(
+            df.sparkSession,
+            {_PART: [part for part, _ in parts], "__start": starts},
+            {_PART: pa.int32(), "__start": pa.int64()},
+        )
         return (
             placed.join(F.broadcast(offsets), _PART)
             .withColumn(name, F.col("__start") + F.col(_SEQ))

@@ -161,9 +161,9 @@ def category_codes(
 ) -> Step:
     """Number the sorted distinct values 0, 1, ... and give each row its number; null gets -1.
 
-    A dictionary of at most ``max_broadcast_rows`` values is broadcast. A larger one is numbered
-    and joined by shuffle; values that are frequent enough to overload one task are then looked up
-    by a broadcast of just those values, and their rows are spread evenly over the shuffle.
+    A dictionary of at most ``max_broadcast_rows`` values is broadcast. With a larger one, values
+    that are frequent enough to overload one task are looked up by a broadcast of just those values
+    and never shuffled; only the other rows are joined by shuffle.
     """
 
     def step(df: DataFrame) -> DataFrame:
@@ -171,48 +171,29 @@ def category_codes(
         require_columns(df, [column])
         value = F.col(quoted(column))
         dictionary = (
-            df.filter(value.isNotNull()).groupBy(value.alias("__value")).agg(F.count(F.lit(1)).alias("__rows"))
+            df.filter(value.isNotNull())
+            .groupBy(value.alias("__value"))
+            .agg(F.count(F.lit(1)).alias("__rows"))
+            .transform(with_row_index(["__value"], "__code"))
         )
-        head = dictionary.select("__value").limit(max_broadcast_rows + 1)
-        small = head.count() <= max_broadcast_rows
-        if small:
-            # Bounded by the check above, so numbering it in one task is safe.
-            from pyspark.sql import Window
-
-            coded = dictionary.select(
-                "__value", (F.row_number().over(Window.orderBy("__value")) - 1).cast("bigint").alias("__code")
-            )
-            joined = df.join(F.broadcast(coded), value == F.col("__value"), "left")
-            return _with_code(joined, df, output_column, F.col("__code"))
-        coded = with_row_index(["__value"], "__code")(dictionary)
-        return _large_lookup(df, value, coded, output_column)
+        kept = [F.col(quoted(c)) for c in df.columns if c != output_column]
+
+        def lookup(rows: DataFrame, codes: DataFrame) -> DataFrame:
+            code = F.coalesce(F.col("__code"), F.lit(-1)).cast("bigint").alias(output_column)
+            return rows.join(codes, value == F.col("__value"), "left").select(*kept, code)
+
+        size, total = dictionary.agg(F.count(F.lit(1)), F.sum("__rows")).first()
+        codes = dictionary.select("__value", "__code")
+        if size <= max_broadcast_rows:
+            return lookup(df, F.broadcast(codes))
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        # Fewer than `tasks` values can fill more than a fair share of the tasks.
+        frequent = dictionary.filter(F.col("__rows") > F.lit(total / tasks))
+        hot = F.broadcast(frequent.select("__value", "__code"))
+        is_hot = value == F.col("__value")
+        settled = df.join(hot, is_hot, "left").filter(F.col("__code").isNotNull() | value.isNull())
+        settled = settled.select(*kept, F.coalesce(F.col("__code"), F.lit(-1)).alias(output_column))
+        others = df.filter(value.isNotNull()).join(hot, is_hot, "left_anti")
+        return settled.unionByName(lookup(others, codes))
 
     return step
-
-
-def _with_code(joined: DataFrame, df: DataFrame, output_column: str, code: Column) -> DataFrame:
-    kept = [F.col(quoted(c)) for c in df.columns if c != output_column]
-    return joined.select(*kept, F.coalesce(code, F.lit(-1)).cast("bigint").alias(output_column))
-
-
-def _large_lookup(df: DataFrame, value: Column, coded: DataFrame, output_column: str) -> DataFrame:
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    total = coded.agg(F.sum("__rows")).first()[0]
-    # A value is hot when it alone fills a fair share of a task. At most `partitions` are.
-    hot = coded.filter(F.col("__rows") > F.lit(total / partitions)).select(
-        F.col("__value").alias("__hot"), F.col("__code").alias("__hot_code")
-    )
-    first = df.join(F.broadcast(hot), value == F.col("__hot"), "left")
-    # Rows that are done (hot or null) match nothing below; a salt spreads them over the tasks.
-    open_value = F.when(F.col("__hot_code").isNull(), value)
-    salt = F.when(open_value.isNotNull(), F.lit(0)).otherwise(
-        F.pmod(F.monotonically_increasing_id(), F.lit(partitions)).cast("int") + F.lit(1)
-    )
-    left = first.withColumns({"__open": open_value, "__salt": salt})
-    right = coded.select(
-        F.col("__value"), F.col("__code"), F.when(F.col("__code") >= 0, 0).otherwise(1).alias("__zero")
-    )
-    joined = left.join(
-        right, (F.col("__open") == F.col("__value")) & (F.col("__salt") == F.col("__zero")), "left"
-    )
-    return _with_code(joined, df, output_column, F.coalesce(F.col("__hot_code"), F.col("__code")))

@@ -91,7 +91,7 @@ def hhmm_seconds(spark, sf_dir):
     )
     return parsed.select(
         "o_orderkey",
-        (F.expr("delta / INTERVAL '1' SECOND")).cast("bigint").alias("seconds"),
+        F.expr("CAST(CAST(delta AS INTERVAL SECOND) AS BIGINT)").alias("seconds"),
     )
 
 

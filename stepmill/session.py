@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Broadcast a side only up to this many rows; above it another strategy is used.
@@ -65,6 +66,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_table(spark: SparkSession, columns: dict[str, list], types: dict[str, pa.DataType]) -> DataFrame:
+    """A table made of configuration or per-partition figures; it becomes part of the plan."""
+    arrays = [pa.array(values, type=types[name]) for name, values in columns.items()]
+    return spark.createDataFrame(pa.table(arrays, names=list(columns)))
+
+
 def require_columns(df: DataFrame, names) -> None:
     """Raise while the plan is built when a configured column does not exist."""
     missing = [name for name in names if name not in df.columns]
