@@ -32,7 +32,8 @@ BLANKS = "".join(
 ZERO_WIDTH = "".join(map(chr, [0x200B, 0x200C, 0x200D, 0xFEFF]))
 # What counts as one run of blanks for the plain squeeze (ASCII, no vertical tab).
 ASCII_BLANK_RUN = "[\\t\\n\\f\\r ]+"
-BLANK_RUN = "[" + BLANKS + "]+"
+# The same blanks as BLANKS, as a pattern class (Z is every space separator).
+BLANK_RUN = "[\\t-\\r\\x1c-\\x1f\\x85\\p{Z}]+"
 # A character with case, i.e. one that belongs to a title-case word.
 CASED = "\\p{Lu}\\p{Ll}\\p{Lt}\\u0345\\u2160-\\u217f\\u24b6-\\u24e9"
 # Letters whose upper case is one letter, although upper() spells it with two.
@@ -62,14 +63,18 @@ def squeeze_blanks(c: Column) -> Column:
 
 def lower_simple(c: Column) -> Column:
     """Lower case letter by letter: no word-final sigma, no two-letter dotted i."""
-    return F.lower(F.translate(c, "Σİ", "σi"))
+    return F.lower(_without(_without(c, "Σ", "σ"), "İ", "i"))
+
+
+def _without(c: Column, old: str, new: str = "") -> Column:
+    return F.replace(c, F.lit(old), F.lit(new))
 
 
 def upper_letter(c: Column) -> Column:
     """Upper case of a one-letter text that stays one letter."""
-    simple = F.translate(c, _LOWER_ONLY, _UPPER_ONLY)
-    upper = F.upper(simple)
-    return F.when(F.length(upper) == 1, upper).otherwise(simple)
+    upper = F.upper(c)
+    # The rare letters come last: they are only looked up when upper() gave two letters.
+    return F.when(F.length(upper) == 1, upper).otherwise(F.translate(c, _LOWER_ONLY, _UPPER_ONLY))
 
 
 def capitalize(c: Column) -> Column:
@@ -79,12 +84,22 @@ def capitalize(c: Column) -> Column:
 
 def title(c: Column) -> Column:
     """Title case where every run of cased letters is a word: ``o'neil`` becomes ``O'Neil``."""
-    words = F.regexp_extract_all(c, F.lit(f"([{CASED}]+|[^{CASED}]+)"), F.lit(1))
-    return F.array_join(F.transform(words, capitalize), "")
+    words = F.regexp_extract_all(_without(c, "Σ", "σ"), F.lit(f"[{CASED}]+|[^{CASED}]+"), F.lit(0))
+    return F.array_join(
+        F.transform(
+            words,
+            lambda w: F.concat(
+                upper_letter(F.substring(w, 1, 1)), F.lower(_without(F.substr(w, F.lit(2)), "İ", "i"))
+            ),
+        ),
+        "",
+    )
 
 
 def drop_zero_width(c: Column) -> Column:
-    return F.translate(c, ZERO_WIDTH, "")
+    for character in ZERO_WIDTH:
+        c = _without(c, character)
+    return c
 
 
 @F.arrow_udf(T.StringType())
@@ -96,14 +111,16 @@ def _nfkc(values: pa.Array) -> pa.Array:
 
 
 def nfkc(c: Column) -> Column:
-    """NFKC form. Pure ASCII text is already normal, so only other text is sent to Python."""
-    ascii_only = F.regexp_like(c, F.lit("^[\\x00-\\x7f]*$"))
+    """NFKC form. Pure ASCII text (as many bytes as characters) is already normal, so only other
+    text is sent to Python. ``c`` is repeated in the result: pass a plain column.
+    """
+    ascii_only = F.octet_length(c) == F.length(c)
     return F.when(ascii_only, c).otherwise(_nfkc(F.when(~ascii_only, c)))
 
 
 def clean_characters(c: Column) -> Column:
-    """NFKC, no-break space to space, zero-width characters removed."""
-    return drop_zero_width(F.translate(nfkc(c), "\xa0", " "))
+    """NFKC, no-break space to space, zero-width characters removed. Pass a plain column."""
+    return drop_zero_width(_without(nfkc(c), "\xa0", " "))
 
 
 def empty_to_null(c: Column) -> Column:

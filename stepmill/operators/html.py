@@ -132,11 +132,16 @@ def extract_records(
     keep: Sequence[str] = (),
     text_separator: str = " ",
     strip_text: bool = True,
+    rebalance: bool = False,
 ) -> Step:
     """Pages to records: the ``keep`` columns, ``record_pos``, then the model's fields.
 
     ``context`` maps model fields to page columns; those values win over the field's own rule.
     ``record_pos`` is the position of the container among the containers of its page.
+
+    Parsing takes about a second per megabyte of HTML. ``rebalance`` shuffles the pages first, into
+    partitions of ``spark.sql.adaptive.advisoryPartitionSizeInBytes``; it pays when the input comes
+    in few or uneven partitions, and is not needed when files are already split finely.
     """
     context = context or {}
     rules = {name: rule for name, rule in schema.fields.items() if name not in context}
@@ -148,9 +153,11 @@ def extract_records(
         if missing:
             raise ValueError(f"model fields without rule, context or default: {missing}")
 
+        used = dict.fromkeys([*keep, *context.values(), html_column])
+        pages = df.select(*[quoted(c) for c in used]).hint("rebalance") if rebalance else df
         parse = _raw_text_udf(schema.record_container, list(rules.values()), text_separator, strip_text)
         carried = {name: f"__context_{i}" for i, name in enumerate(context)}
-        rows = df.select(
+        rows = pages.select(
             *[F.col(quoted(c)) for c in keep],
             *[F.col(quoted(context[name])).alias(alias) for name, alias in carried.items()],
             F.posexplode(parse(F.col(quoted(html_column)))).alias("record_pos", "__texts"),

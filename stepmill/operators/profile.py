@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stepmill.functions.text import double_text
+from stepmill.functions.text import as_text
 from stepmill.operators.nulls import is_missing
 from stepmill.operators.order import with_row_index
 from stepmill.plans.pipeline import Step
@@ -39,22 +39,33 @@ def null_shares(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return row.select(F.inline(F.array(*pairs)))
 
 
-def _distinct_key(c: Column, dtype: T.DataType) -> Column:
-    """A text that is equal exactly when the values are equal; null for missing values."""
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        # Adding zero joins 0.0 and -0.0.
-        wide = c.cast("double")
-        return double_text(F.nanvl(wide, F.lit(None).cast("double")) + F.lit(0.0))
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(c).cast("string")
-    if isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)):
-        c = F.to_json(c)
-    elif isinstance(dtype, T.BinaryType):
+# For one value of at most 64 bits, xxhash64 is a chain of one-to-one steps: equal hashes mean equal
+# values. It also joins 0.0 and -0.0.
+_FIXED_WIDTH = (
+    T.BooleanType,
+    T.IntegralType,
+    T.DoubleType,
+    T.FloatType,
+    T.DateType,
+    T.TimestampType,
+    T.TimestampNTZType,
+    T.DayTimeIntervalType,
+    T.YearMonthIntervalType,
+)
+
+
+def _distinct_key(c: Column, dtype: T.DataType) -> tuple[Column, Column]:
+    """A number or a text that is equal exactly when the values are; the other one is null."""
+    no_number, no_text = F.lit(None).cast("bigint"), F.lit(None).cast("string")
+    if isinstance(dtype, _FIXED_WIDTH):
+        return F.when(~is_missing(c, dtype), F.xxhash64(c)), no_text
+    if isinstance(dtype, T.BinaryType):
         c = F.hex(c)
-    elif not isinstance(dtype, T.StringType):
-        return c.cast("string")
+    else:
+        c = as_text(c, dtype)
+    # A long text is replaced by its digest, so that the shuffle does not carry whole documents.
     digest = F.concat(F.lit("\x00"), F.sha2(c.cast("binary"), 256))
-    return F.when(F.octet_length(c) <= _DIGEST_ABOVE_BYTES, c).otherwise(digest)
+    return no_number, F.when(F.octet_length(c) <= _DIGEST_ABOVE_BYTES, c).otherwise(digest)
 
 
 def column_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -68,19 +79,21 @@ def column_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
         return df.sparkSession.createDataFrame(
             [], "column_name string, non_null bigint, distinct_values bigint"
         )
-    keys = df.select(
-        *[_distinct_key(F.col(quoted(f.name)), f.dataType).alias(f.name) for f in fields]
-    )
-    names = [F.col(quoted(f.name)) for f in fields]
+    cells = []
+    for i, f in enumerate(fields):
+        cells += [F.lit(i), *_distinct_key(F.col(quoted(f.name)), f.dataType)]
+    long = df.select(F.stack(F.lit(len(fields)), *cells).alias("at", "number", "text"))
+    missing = F.col("number").isNull() & F.col("text").isNull()
+    names = F.array(*[F.lit(f.name) for f in fields])
     return (
-        keys.unpivot([], names, "column_name", "value")
-        .groupBy("column_name", "value")
-        .agg(F.count("value").alias("rows"))
-        .groupBy("column_name")
+        long.groupBy("at", "number", "text")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .groupBy("at")
         .agg(
-            F.sum("rows").cast("bigint").alias("non_null"),
-            F.count("value").alias("distinct_values"),
+            F.coalesce(F.sum(F.when(~missing, F.col("rows"))), F.lit(0)).alias("non_null"),
+            F.count(F.when(~missing, 1)).alias("distinct_values"),
         )
+        .select(names[F.col("at")].alias("column_name"), "non_null", "distinct_values")
     )
 
 

@@ -35,14 +35,16 @@ def normalize_text(columns: Sequence[str] | None = None, order: str = "blanks_fi
     if order not in ("blanks_first", "text_first"):
         raise ValueError(f"order is 'blanks_first' or 'text_first', not {order!r}")
 
-    def clean(c: Column) -> Column:
-        if order == "blanks_first":
-            return text.clean_characters(text.squeeze_blanks(c))
-        return text.squeeze_blanks(text.clean_characters(c))
+    stages = [text.squeeze_blanks, text.clean_characters]
+    if order == "text_first":
+        stages.reverse()
 
     def step(df: DataFrame) -> DataFrame:
         names = text_columns(df, columns)
-        return df.withColumns({n: clean(F.col(quoted(n))) for n in names}) if names else df
+        for stage in stages if names else ():
+            # One projection per stage, so that no stage is worked out twice inside the next.
+            df = df.withColumns({n: stage(F.col(quoted(n))) for n in names})
+        return df
 
     return step
 
@@ -111,11 +113,11 @@ def conform(model: T.StructType, defaults: dict[str, object] | None = None) -> S
     def step(df: DataFrame) -> DataFrame:
         out = project_to_model(model, defaults)(df)
         reason = reject_reason(model, out)
-        # The check sits in the first field, so no plan can drop it while keeping the record.
-        checked = out.withColumn("__reason", reason).withColumn(
-            "__ok", F.when(F.col("__reason").isNotNull(), F.raise_error(F.col("__reason")).cast("boolean")).otherwise(F.lit(True))
-        )
-        return checked.filter("__ok").select(*_typed(model))
+        rejected = reason.isNotNull() & (F.spark_partition_id() >= 0)
+        passes = F.when(rejected, F.raise_error(reason).cast("boolean")).otherwise(F.lit(True))
+        # The partition number, never negative, pins the check to this place: pushed further down it would
+        # judge rows that never become records, and it must also run when its fields are not used.
+        return out.filter(passes).select(*_typed(model))
 
     return step
 

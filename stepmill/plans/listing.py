@@ -69,11 +69,13 @@ def listing_records(
     skip_map: dict[str, list[int]] | None = None,
     sentinel: str = SENTINEL,
     keep_position: bool = False,
+    rebalance: bool = False,
 ) -> Step:
     """Pages ``(category, category_pos, subcategory, subcategory_pos, page, html)`` to records.
 
     Page filters come first, so skipped pages are never parsed. The cap counts records in crawl
-    order after the skip rule. ``keep_position`` leaves the crawl position in the result.
+    order after the skip rule. ``keep_position`` leaves the crawl position in the result; for ``rebalance`` see
+    :func:`stepmill.operators.html.extract_records`.
     """
     position = [*PAGE_ORDER, "record_pos"]
     model = T.StructType(
@@ -90,6 +92,7 @@ def listing_records(
                     LISTING_SCHEMA,
                     context={"category": "category", "subcategory": "subcategory"},
                     keep=PAGE_ORDER,
+                    rebalance=rebalance,
                 )
             )
             .transform(normalize_text(LISTING_MODEL.fieldNames()))

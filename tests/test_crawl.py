@@ -100,5 +100,9 @@ def test_listing_fallback_container(frame):
 
 def test_listing_needs_a_category(frame):
     df = frame(PAGES, [("", 0, "s", 0, 1, page(item("A")))])
-    with pytest.raises(PySparkException, match="category: too short"):
-        listing.listing_records()(df).collect()
+    for use in (lambda d: d.collect(), lambda d: d.select("price").collect(), lambda d: d.count()):
+        with pytest.raises(PySparkException, match="category: too short"):
+            use(listing.listing_records()(df))
+    # a page without records has nothing to judge
+    empty = frame(PAGES, [("", 0, "s", 0, 1, page())])
+    assert listing.listing_records()(empty).count() == 0
