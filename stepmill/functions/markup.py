@@ -22,6 +22,7 @@ VOID = frozenset(
 SEPARATE_TEXT = frozenset("script style template rt rp".split())
 # Elements whose blank text is kept as it is.
 PREFORMATTED = frozenset(("pre", "textarea"))
+SPECIAL = SEPARATE_TEXT | PREFORMATTED
 
 
 class Element:
@@ -66,17 +67,20 @@ class _Builder(HTMLParser):
         super().__init__(convert_charrefs=False)
         self.root = Element("", {}, None)
         self.open = [self.root]
+        self.special: list[str] = []  # open elements that change how text is kept
         self.buffer: list[str] = []
 
+    def updatepos(self, i, j):
+        return j  # line numbers are not needed
+
     def flush(self) -> None:
         if not self.buffer:
             return
         piece = "".join(self.buffer)
         self.buffer.clear()
-        names = [e.tag for e in self.open]
-        if not piece.strip(" \t\n\r\f") and not PREFORMATTED.intersection(names):
+        if not piece.strip(" \t\n\r\f") and not PREFORMATTED.intersection(self.special):
             piece = "\n" if "\n" in piece else " "
-        container = next((n for n in reversed(names) if n in SEPARATE_TEXT), None)
+        container = next((tag for tag in reversed(self.special) if tag in SEPARATE_TEXT), None)
         self.open[-1].children.append((piece, container))
 
     def _add(self, tag: str, attrs) -> Element:
@@ -89,6 +93,8 @@ class _Builder(HTMLParser):
         element = self._add(tag, attrs)
         if tag not in VOID:
             self.open.append(element)
+            if tag in SPECIAL:
+                self.special.append(tag)
 
     def handle_startendtag(self, tag, attrs):
         self._add(tag, attrs)
@@ -97,6 +103,8 @@ class _Builder(HTMLParser):
         self.flush()
         for depth in range(len(self.open) - 1, 0, -1):
             if self.open[depth].tag == tag:
+                closed = sum(e.tag in SPECIAL for e in self.open[depth:])
+                del self.special[len(self.special) - closed :]
                 del self.open[depth:]
                 return
 

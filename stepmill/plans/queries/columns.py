@@ -107,7 +107,7 @@ def rename_replace(spark, sf_dir):
     """
     SELECT o_orderkey::VARCHAR AS o_orderkey, o_custkey::DOUBLE AS o_custkey,
            trunc(o_totalprice)::BIGINT AS o_totalprice,
-           CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey END AS digits
+           CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey END::VARCHAR AS digits
     FROM orders
     """,
 )
@@ -124,6 +124,7 @@ def cast_cols(spark, sf_dir):
                 "digits": "int64",
             })
         )
+        .withColumn("digits", F.col("digits").cast("string"))
     )
 
 

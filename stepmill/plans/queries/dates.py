@@ -80,7 +80,7 @@ def parse_timestamps(spark, sf_dir):
     "hhmm_seconds",
     f"""
     WITH t AS (SELECT o_orderkey, coalesce(try_cast({_HHMM_SQL} AS INT), 0) AS v FROM orders)
-    SELECT o_orderkey, (v // 100) * 3600 + (v % 100) * 60 AS seconds FROM t
+    SELECT o_orderkey, ((v // 100) * 3600 + (v % 100) * 60)::BIGINT AS seconds FROM t
     """,
 )
 def hhmm_seconds(spark, sf_dir):

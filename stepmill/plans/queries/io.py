@@ -21,7 +21,7 @@ from stepmill.sources.paged import export_pages
 from stepmill.streaming.run import run_batches, write_parquet_stream
 
 _CELLS_SQL = """
-    SELECT c_custkey, CASE WHEN c_custkey % 6 <> 0 THEN c_nationkey END::BIGINT AS c_nationkey,
+    SELECT c_custkey, CASE WHEN c_custkey % 6 <> 0 THEN c_nationkey END::VARCHAR AS c_nationkey,
            c_acctbal, c_custkey % 2 = 0 AS even,
            CASE WHEN c_custkey % 5 <> 0 THEN 'a "quoted", cell' || {line_break} || c_name END AS label,
            '1998-0' || (1 + c_custkey % 9) || '-01' AS day
@@ -44,7 +44,8 @@ def _cells(spark, sf_dir, line_break):
 def _roundtrip(spark, sf_dir, line_break):
     path = scratch_path(spark, "csv")
     append_csv(_cells(spark, sf_dir, line_break), path)
-    return extract_csv(spark, path)
+    # The column comes back as a number with gaps.
+    return extract_csv(spark, path).withColumn("c_nationkey", F.col("c_nationkey").cast("string"))
 
 
 @query("csv_roundtrip", _CELLS_SQL.format(line_break="' '"))
@@ -136,7 +137,10 @@ def sink_append(spark, sf_dir):
     first = append_csv(part, path, columns)
     second = append_csv(part.filter("p_size > 25"), path, columns)
     append_csv(part.filter("p_size < 0"), path, columns)
-    return extract_csv(spark, path).withColumns({"first_write": F.lit(first), "second_write": F.lit(second)})
+    return extract_csv(spark, path).withColumns({
+        "first_write": F.lit(first).cast("bigint"),
+        "second_write": F.lit(second).cast("bigint"),
+    })
 
 
 @query("stage_export", "SELECT c_custkey, c_name, c_mktsegment FROM customer")

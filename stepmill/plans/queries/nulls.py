@@ -11,7 +11,7 @@ from stepmill.plans.queries.registry import query, table
     """
     SELECT o_orderkey, nullif(CASE WHEN o_orderkey % 7 = 0 THEN 'UNKNOWN' ELSE o_orderstatus END, 'UNKNOWN') AS status,
            CASE WHEN o_orderpriority NOT IN ('1-URGENT', '5-LOW') THEN o_orderpriority END AS o_orderpriority,
-           nullif(o_custkey, 7) AS o_custkey
+           nullif(o_custkey, 7)::VARCHAR AS o_custkey
     FROM orders
     """,
 )
@@ -28,6 +28,7 @@ def nullify_value(spark, sf_dir):
                 "o_custkey": 7,
             })
         )
+        .withColumn("o_custkey", F.col("o_custkey").cast("string"))
     )
 
 
@@ -36,7 +37,7 @@ def nullify_value(spark, sf_dir):
     """
     SELECT c_custkey,
            CASE WHEN c_acctbal > 0 AND c_acctbal <= 5000 THEN c_acctbal END AS c_acctbal,
-           CASE WHEN c_nationkey > 3 AND c_nationkey <= 20 THEN c_nationkey END::BIGINT AS c_nationkey
+           CASE WHEN c_nationkey > 3 AND c_nationkey <= 20 THEN c_nationkey END::VARCHAR AS c_nationkey
     FROM customer
     """,
 )
@@ -45,6 +46,7 @@ def nullify_range(spark, sf_dir):
         table(spark, sf_dir, "customer")
         .select("c_custkey", "c_acctbal", "c_nationkey")
         .transform(nulls.nullify_range({"c_acctbal": (0, 5000), "c_nationkey": (3, 20)}))
+        .withColumn("c_nationkey", F.col("c_nationkey").cast("string"))
     )
 
 

@@ -86,13 +86,13 @@ _SPLIT = records.quarantine(_MODEL, {"origin": "crawl"})
 @query(
     "quarantine_good",
     f"""
-    SELECT source, doc_id::BIGINT AS doc_id, words::INT AS words, 'crawl' AS origin FROM ({_JUDGED_SQL})
+    SELECT source, doc_id::BIGINT AS doc_id, words::INT::VARCHAR AS words, 'crawl' AS origin FROM ({_JUDGED_SQL})
     WHERE coalesce(source, '') <> '' AND try_cast(doc_id AS BIGINT) IS NOT NULL
       AND (words IS NULL OR try_cast(words AS INT) IS NOT NULL)
     """,
 )
 def quarantine_good(spark, sf_dir):
-    return _SPLIT(_judged(spark, sf_dir))[0]
+    return _SPLIT(_judged(spark, sf_dir))[0].withColumn("words", F.col("words").cast("string"))
 
 
 @query(
