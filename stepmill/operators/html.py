@@ -132,16 +132,17 @@ def extract_records(
     keep: Sequence[str] = (),
     text_separator: str = " ",
     strip_text: bool = True,
-    rebalance: bool = False,
+    rebalance: bool = True,
 ) -> Step:
     """Pages to records: the ``keep`` columns, ``record_pos``, then the model's fields.
 
     ``context`` maps model fields to page columns; those values win over the field's own rule.
     ``record_pos`` is the position of the container among the containers of its page.
 
-    Parsing takes about a second per megabyte of HTML. ``rebalance`` shuffles the pages first, into
-    partitions of ``spark.sql.adaptive.advisoryPartitionSizeInBytes``; it pays when the input comes
-    in few or uneven partitions, and is not needed when files are already split finely.
+    Parsing costs far more than moving the pages: about a second per megabyte of HTML, so that a
+    usual file split would keep one task busy for half an hour. Therefore the pages are first spread
+    over partitions of ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, whatever the sizes of
+    the files. ``rebalance=False`` leaves that shuffle out, for input that is already split finely.
     """
     context = context or {}
     rules = {name: rule for name, rule in schema.fields.items() if name not in context}
@@ -154,7 +155,9 @@ def extract_records(
             raise ValueError(f"model fields without rule, context or default: {missing}")
 
         used = dict.fromkeys([*keep, *context.values(), html_column])
-        pages = df.select(*[quoted(c) for c in used]).hint("rebalance") if rebalance else df
+        pages = df.select(*[quoted(c) for c in used])
+        if rebalance and not df.isStreaming:
+            pages = pages.hint("rebalance")
         parse = _raw_text_udf(schema.record_container, list(rules.values()), text_separator, strip_text)
         carried = {name: f"__context_{i}" for i, name in enumerate(context)}
         rows = pages.select(

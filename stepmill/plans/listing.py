@@ -69,7 +69,7 @@ def listing_records(
     skip_map: dict[str, list[int]] | None = None,
     sentinel: str = SENTINEL,
     keep_position: bool = False,
-    rebalance: bool = False,
+    rebalance: bool = True,
 ) -> Step:
     """Pages ``(category, category_pos, subcategory, subcategory_pos, page, html)`` to records.
 
