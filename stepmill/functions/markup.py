@@ -129,11 +129,70 @@ class _Builder(HTMLParser):
             self.flush()
 
 
+# Markup that is read by one pattern per token. Anything else on a page (bare ampersands, odd
+# attributes, sections) sends the whole page through the tolerant parser instead.
+_TOKEN = re.compile(
+    r"""(?P<text>[^<&]+)
+    |<(?P<start>[A-Za-z][A-Za-z0-9]*)(?P<attrs>(?:\s+[A-Za-z][\w-]*(?:="[^"<>&]*"|='[^'<>&]*'|=[\w.:-]+)?)*)\s*(?P<slash>/?)>
+    |</(?P<end>[A-Za-z][A-Za-z0-9]*)>
+    |&(?P<name>[A-Za-z][A-Za-z0-9]*);
+    |&\#(?P<number>[0-9]+|[xX][0-9A-Fa-f]+);
+    |<!--(?P<comment>[^<>-][^<>-]*)-->
+    |<!(?P<doctype>(?i:doctype)\s[\w\s]*)>""",
+    re.VERBOSE | re.ASCII,
+)
+_ATTRIBUTE = re.compile(r"""([A-Za-z][\w-]*)(?:="([^"]*)"|='([^']*)'|=([\w.:-]+))?""", re.ASCII)
+# Elements whose content is not markup. Only the first two are read by pattern.
+_RAW = ("script", "style", "title", "textarea", "iframe", "noembed", "noframes", "noscript", "plaintext", "xmp")
+
+
+def _read_regular(html: str, builder: _Builder) -> bool:
+    """Build the tree of a page made of regular tokens only; False if it is not."""
+    at, end, match = 0, len(html), _TOKEN.match
+    while at < end:
+        m = match(html, at)
+        if m is None:
+            return False
+        at, kind = m.end(), m.lastgroup
+        if kind == "text":
+            builder.buffer.append(m["text"])
+        elif kind == "end":
+            builder.handle_endtag(m["end"].lower())
+        elif kind == "slash":
+            tag, attrs = m["start"].lower(), m["attrs"]
+            pairs = [(a.lower(), b or c or d) for a, b, c, d in _ATTRIBUTE.findall(attrs)] if attrs else ()
+            if tag in _RAW:
+                stop = html.find(f"</{tag}>", at)
+                content = html[at:stop]
+                plain = "<" not in content and "&" not in content
+                script = tag in _RAW[:2] and f"</{tag}" not in content.lower() and "<!--" not in content
+                if stop < 0 or m["slash"] or not (plain or script):
+                    return False
+                builder.handle_starttag(tag, pairs)
+                builder.buffer.append(content)
+                at = stop
+            elif m["slash"]:
+                builder.handle_startendtag(tag, pairs)
+            else:
+                builder.handle_starttag(tag, pairs)
+        elif kind == "name":
+            if f"{m['name']};" not in html5:
+                return False
+            builder.handle_entityref(m["name"])
+        elif kind == "number":
+            builder.handle_charref(m["number"])
+        else:
+            builder.flush()
+    return True
+
+
 def parse_html(html: str) -> Element:
     """The element tree of a page; the returned root stands above all of it."""
     builder = _Builder()
-    builder.feed(html)
-    builder.close()
+    if not _read_regular(html, builder):
+        builder = _Builder()
+        builder.feed(html)
+        builder.close()
     builder.flush()
     return builder.root
 

@@ -1,6 +1,9 @@
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import types as T
 
+from stepmill.functions import markup
 from stepmill.functions.markup import compile_selector, parse_html, select
 from stepmill.operators.html import Locator, RecordSchema, TextField, extract_records, html_text
 from stepmill.plans import listing
@@ -137,6 +140,45 @@ def test_missing_model_field(frame):
         extract_records(schema)(frame("html string", []))
 
 
+def tree(element):
+    return [
+        (c.tag, c.attrs, tree(c)) if isinstance(c, markup.Element) else c for c in element.children
+    ]
+
+
+def both_ways(page):
+    """The tree by pattern if the page allows it, and the tree of the tolerant parser."""
+    regular = markup._Builder()
+    done = markup._read_regular(page, regular)
+    regular.flush()
+    tolerant = markup._Builder()
+    tolerant.feed(page)
+    tolerant.close()
+    tolerant.flush()
+    return (tree(regular.root) if done else None), tree(tolerant.root)
+
+
+PIECES = st.sampled_from([
+    "text", " ", "\n", "é\xa0", "<p>", "</p>", "<b class='x y'>", "</b>", "<br>", "<br/>", "<BR />", "<div id=\"a\" hidden>",
+    "</div>", "<a href=x.html>", "</a>", "&amp;", "&nbsp;", "&#65;", "&#x1F600;", "&#150;", "&#0;", "&unknown;", "& ", "&copy",
+    "<!-- c -->", "<!---->", "<!-- a - b -->", "<!DOCTYPE html>", "<script>", "var t='</p>';", "</script>", "<style>p{}</style>",
+    "<title>", "</title>", "<TITLE>T</title>", "<pre>", "</pre>", "<", ">", "<3", "</ p>", "<p", "<![CDATA[x]]>", "<?pi?>", "<svg:g>",
+    "<template>", "</template>", "<textarea>", "</textarea>", "<a b=\"&lt;\">", "<a b='1' b='2'>", "<p/>", "=\"", "'", "<xmp>",
+])
+
+
+@given(st.lists(PIECES, max_size=14).map("".join))
+@settings(max_examples=1500, deadline=None)
+def test_reading_by_pattern_gives_the_same_tree(page):
+    regular, tolerant = both_ways(page)
+    assert regular is None or regular == tolerant
+
+
+def test_usual_pages_are_read_by_pattern():
+    regular, tolerant = both_ways(PAGE)
+    assert regular == tolerant
+
+
 # --- schema checks ---------------------------------------------------------------------------
 
 FIELDS = {n: TextField(Locator(s)) for n, s in (("name", "h3"), ("author", ".author"), ("price", ".price"))}
