@@ -8,7 +8,6 @@ defaults, filters) is a column expression in :mod:`stepmill.operators.html`.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from html import unescape
 from html.entities import html5
 from html.parser import HTMLParser
@@ -28,21 +27,21 @@ SPECIAL = SEPARATE_TEXT | PREFORMATTED
 class Element:
     """A tag with its attributes; children are elements and (text, separate container) pairs."""
 
-    __slots__ = ("tag", "attrs", "parent", "children")
+    __slots__ = ("tag", "attrs", "classes", "parent", "children")
 
     def __init__(self, tag: str, attrs: dict[str, str], parent: Element | None) -> None:
         self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
+        self.classes = attrs["class"].split() if "class" in attrs else ()
 
-    def descendants(self) -> Iterator[Element]:
+    def descendants(self) -> list[Element]:
         """All elements below this one, in document order."""
-        stack = [iter(self.children)]
+        found, stack = [], [e for e in reversed(self.children) if type(e) is Element]
         while stack:
-            child = next(stack[-1], None)
-            if child is None:
-                stack.pop()
-            elif isinstance(child, Element):
-                yield child
-                stack.append(iter(child.children))
+            element = stack.pop()
+            found.append(element)
+            if element.children:
+                stack += [e for e in reversed(element.children) if type(e) is Element]
+        return found
 
     def text(self, separator: str = " ", strip: bool = True) -> str:
         """The text pieces below this element, stripped and joined."""
@@ -169,7 +168,8 @@ def _read_regular(html: str, builder: _Builder) -> bool:
                 if stop < 0 or m["slash"] or not (plain or script):
                     return False
                 builder.handle_starttag(tag, pairs)
-                builder.buffer.append(content)
+                if content:
+                    builder.buffer.append(content)
                 at = stop
             elif m["slash"]:
                 builder.handle_startendtag(tag, pairs)
@@ -248,7 +248,7 @@ def _passes(element: Element, compound: list) -> bool:
         if kind == "tag":
             ok = name == "*" or element.tag == name
         elif kind == "cls":
-            ok = name in element.attrs.get("class", "").split()
+            ok = name in element.classes
         elif kind == "id":
             ok = element.attrs.get("id") == name
         else:
@@ -274,26 +274,23 @@ def _matches(element: Element, chain: list, at: int = 0) -> bool:
     return False
 
 
-def select(scope: Element, compiled: list[list]) -> Iterator[Element]:
-    """Elements below ``scope`` that match, in document order."""
-    for element in scope.descendants():
-        if any(_matches(element, chain) for chain in compiled):
-            yield element
+def matches(element: Element, compiled: list[list]) -> bool:
+    return any(_matches(element, chain) for chain in compiled)
 
 
-def select_all(scope: Element, selectors: list) -> list[Element]:
-    """All matches of the first selector that has any."""
+def select_all(elements: list[Element], selectors: list) -> list[Element]:
+    """All elements that match the first selector that matches any."""
     for compiled in selectors:
-        found = list(select(scope, compiled))
+        found = [e for e in elements if matches(e, compiled)]
         if found:
             return found
     return []
 
 
-def select_one(scope: Element, selectors: list) -> Element | None:
-    """The first match of the first selector that has any."""
+def select_one(elements: list[Element], selectors: list) -> Element | None:
+    """The first element that matches the first selector that matches any."""
     for compiled in selectors:
-        found = next(select(scope, compiled), None)
-        if found is not None:
-            return found
+        for element in elements:
+            if matches(element, compiled):
+                return element
     return None

@@ -110,8 +110,9 @@ def _raw_text_udf(
 
     def page_texts(html: str) -> list[list[str | None]]:
         texts = []
-        for block in select_all(parse_html(html), blocks):
-            found = [select_one(block, place) for place in places]
+        for block in select_all(parse_html(html).descendants(), blocks):
+            inside = block.descendants()
+            found = [select_one(inside, place) for place in places]
             texts.append([None if e is None else e.text(separator, strip) for e in found])
         return texts
 

@@ -27,6 +27,8 @@ def local_session(app: str = "stepmill", cores: int | str = "*") -> SparkSession
     return (
         builder.config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        # Small tables are spread over the cores too.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )

@@ -67,12 +67,12 @@ class PullSettings:
 class HttpPages:
     """Pages of an open-data API that takes ``$limit`` and ``$offset``.
 
-    A task that fetches several pages rests between them, so no more than ``concurrent`` requests
-    are made per pause.
+    A task rests before every page, so a pull makes at most ``concurrent_batch_limit`` requests per
+    pause.
     """
 
     def __init__(self, url: str, pause: float = 1.0) -> None:
-        self.url, self.pause, self.fetched = url, pause, 0
+        self.url, self.pause = url, pause
 
     def __call__(self, offset: int, limit: int) -> str:
         time.sleep(self.pause)

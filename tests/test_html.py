@@ -4,7 +4,7 @@ from hypothesis import strategies as st
 from pyspark.sql import types as T
 
 from stepmill.functions import markup
-from stepmill.functions.markup import compile_selector, parse_html, select
+from stepmill.functions.markup import compile_selector, parse_html, select_all
 from stepmill.operators.html import Locator, RecordSchema, TextField, extract_records, html_text
 from stepmill.plans import listing
 from tests.conftest import values
@@ -22,7 +22,7 @@ def model(*names):
 
 
 def found(selector, page=PAGE):
-    return [e.tag + e.text("|") for e in select(parse_html(page), compile_selector(selector))]
+    return [e.tag + e.text("|") for e in select_all(parse_html(page).descendants(), [compile_selector(selector)])]
 
 
 @pytest.mark.parametrize(
