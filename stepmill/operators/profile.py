@@ -59,13 +59,15 @@ def _distinct_key(c: Column, dtype: T.DataType) -> tuple[Column, Column]:
     no_number, no_text = F.lit(None).cast("bigint"), F.lit(None).cast("string")
     if isinstance(dtype, _FIXED_WIDTH):
         return F.when(~is_missing(c, dtype), F.xxhash64(c)), no_text
-    if isinstance(dtype, T.BinaryType):
-        c = F.hex(c)
-    else:
-        c = as_text(c, dtype)
-    # A long text is replaced by its digest, so that the shuffle does not carry whole documents.
-    digest = F.concat(F.lit("\x00"), F.sha2(c.cast("binary"), 256))
-    return no_number, F.when(F.octet_length(c) <= _DIGEST_ABOVE_BYTES, c).otherwise(digest)
+    return no_number, _short_key(F.hex(c) if isinstance(dtype, T.BinaryType) else as_text(c, dtype))
+
+
+def _short_key(text: Column) -> Column:
+    """The text, or its digest when it is long, so that no shuffle or broadcast carries whole
+    documents. A digest has 65 bytes, so it cannot meet a text that is kept as it is.
+    """
+    digest = F.concat(F.lit("\x00"), F.sha2(text.cast("binary"), 256))
+    return F.when(F.octet_length(text) <= _DIGEST_ABOVE_BYTES, text).otherwise(digest)
 
 
 def column_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -174,7 +176,8 @@ def category_codes(
 ) -> Step:
     """Number the sorted distinct values 0, 1, ... and give each row its number; null gets -1.
 
-    A dictionary of at most ``max_broadcast_rows`` values is broadcast. With a larger one, values
+    A dictionary of at most ``max_broadcast_rows`` values (long texts as digests, so at most some
+    80 bytes each) is broadcast. With a larger one, values
     that are frequent enough to overload one task are looked up by a broadcast of just those values
     and never shuffled; only the other rows are joined by shuffle.
     """
@@ -190,23 +193,26 @@ def category_codes(
             .transform(with_row_index(["__value"], "__code"))
         )
         kept = [F.col(quoted(c)) for c in df.columns if c != output_column]
+        is_text = isinstance(df.schema[column].dataType, T.StringType)
+        key = _short_key(value) if is_text else value
+        entry = _short_key(F.col("__value")) if is_text else F.col("__value")
+        same = key == F.col("__key")
 
         def lookup(rows: DataFrame, codes: DataFrame) -> DataFrame:
             code = F.coalesce(F.col("__code"), F.lit(-1)).cast("bigint").alias(output_column)
-            return rows.join(codes, value == F.col("__value"), "left").select(*kept, code)
+            return rows.join(codes, same, "left").select(*kept, code)
 
         size, total = dictionary.agg(F.count(F.lit(1)), F.sum("__rows")).first()
-        codes = dictionary.select("__value", "__code")
+        codes = dictionary.select(entry.alias("__key"), "__code")
         if size <= max_broadcast_rows:
             return lookup(df, F.broadcast(codes))
         tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         # Fewer than `tasks` values can fill more than a fair share of the tasks.
-        frequent = dictionary.filter(F.col("__rows") > F.lit(total / tasks))
-        hot = F.broadcast(frequent.select("__value", "__code"))
-        is_hot = value == F.col("__value")
-        settled = df.join(hot, is_hot, "left").filter(F.col("__code").isNotNull() | value.isNull())
+        frequent = dictionary.filter(F.col("__rows") > F.lit((total or 0) / tasks))
+        hot = F.broadcast(frequent.select(entry.alias("__key"), "__code"))
+        settled = df.join(hot, same, "left").filter(F.col("__code").isNotNull() | value.isNull())
         settled = settled.select(*kept, F.coalesce(F.col("__code"), F.lit(-1)).alias(output_column))
-        others = df.filter(value.isNotNull()).join(hot, is_hot, "left_anti")
+        others = df.filter(value.isNotNull()).join(hot, same, "left_anti")
         return settled.unionByName(lookup(others, codes))
 
     return step

@@ -48,6 +48,8 @@ def merge_string_columns(
     A null counts as an empty text between two delimiters. The source columns are dropped, except
     one that carries the output name.
     """
+    if not col_to_merge:
+        raise ValueError("no columns to merge")
 
     def step(df: DataFrame) -> DataFrame:
         require_columns(df, col_to_merge)
@@ -56,7 +58,8 @@ def merge_string_columns(
             for name in col_to_merge
         ]
         merged = F.concat_ws(delimiter, *parts)
-        merged = F.btrim(merged, F.lit(delimiter)) if delimiter else text.trim_blanks(merged)
+        if delimiter:
+            merged = F.btrim(merged, F.lit(delimiter))
         return df.withColumn(new_merge_name, merged).drop(
             *[name for name in col_to_merge if name != new_merge_name]
         )

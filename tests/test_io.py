@@ -295,6 +295,23 @@ def test_stateless_steps_on_a_stream(spark, frame, tmp_path):
     assert sorted(values(got), key=str) == sorted(values(transform_data(STEPS, df)), key=str)
 
 
+def test_html_and_record_steps_on_a_stream(spark, frame, tmp_path):
+    from stepmill import listing, union_pages
+    from tests.test_crawl import FULL, PAGES, item, page
+
+    path = str(tmp_path / "in")
+    rows = [(c, 0, "s", i, 1, page(FULL, item(" "), item(f"B{i}"))) for c in ("History", "Other") for i in range(6)]
+    df = frame(PAGES, rows)
+    df.write.parquet(path)
+    stream = spark.readStream.schema(df.schema).parquet(path)
+    out = listing.listing_records()(union_pages([stream, stream]))
+    target = str(tmp_path / "out")
+    write_parquet_stream(out, target, target + "-c").awaitTermination()
+    expected = values(listing.listing_records()(df))
+    assert len(expected) == 22
+    assert sorted(values(spark.read.schema(out.schema).parquet(target)), key=str) == sorted(expected * 2, key=str)
+
+
 def test_stream_to_csv(spark, frame, tmp_path):
     df, stream = source_stream(spark, frame, tmp_path)
     path = str(tmp_path / "out.csv")

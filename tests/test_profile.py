@@ -64,6 +64,28 @@ def test_category_codes(frame, limit):
     assert sorted(values(over)) == [(i, order.get(x, -1)) for i, x in enumerate(labels)]
 
 
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_codes_of_long_texts_and_numbers(frame, limit):
+    labels = ["x" * 100 + str(i % 3) for i in range(9)] + ["x" * 64, "a", None]
+    df = frame("id int, label string", list(enumerate(labels)))
+    order = {v: i for i, v in enumerate(sorted({x for x in labels if x is not None}))}
+    out = profile.category_codes("label", "code", limit)(df).select("id", "code")
+    assert sorted(values(out)) == [(i, order.get(x, -1)) for i, x in enumerate(labels)]
+    numbers = profile.category_codes("id", "code", limit)(df.filter("id > 3")).select("id", "code")
+    assert sorted(values(numbers)) == [(i, i - 4) for i in range(4, 12)]
+
+
+def test_hash_keys_are_one_to_one(spark):
+    n = 200_000
+    df = spark.range(n).select(
+        F.col("id").alias("a"),
+        (F.col("id") * 0.1).alias("b"),
+        F.col("id").cast("int").alias("c"),
+        F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id / 1000)").alias("d"),
+    )
+    assert sorted(values(profile.column_counts(df))) == [(c, n, n) for c in "abcd"]
+
+
 def test_codes_without_values(frame):
     df = frame("label string", [(None,), (None,)])
     assert values(profile.category_codes("label", "code")(df)) == [(None, -1), (None, -1)]

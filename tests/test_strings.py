@@ -78,6 +78,13 @@ def test_merge_strips_a_set_and_keeps_its_own_name(frame):
     assert values(out) == [("Rome ,, IT", 1)]
 
 
+def test_merge_without_delimiter(frame):
+    out = strings.merge_string_columns(["a", "b"], "m", "")(frame("a string, b string", [(" x", "y ")]))
+    assert values(out) == [(" xy ",)]
+    with pytest.raises(ValueError):
+        strings.merge_string_columns([], "m")
+
+
 def test_merge_numbers_as_text(frame):
     df = frame("a double, b boolean, c int", [(1e7, True, 3), (12345678.25, False, None), (math.nan, None, 5)])
     out = strings.merge_string_columns(["a", "b", "c"], "m")(df)
