@@ -107,17 +107,28 @@ def _typed(model: T.StructType) -> list[Column]:
     return [F.col(quoted(f.name)).try_cast(f.dataType).alias(f.name) for f in model.fields]
 
 
+def _judged(df: DataFrame, model: T.StructType, defaults: dict[str, object] | None) -> DataFrame:
+    """The projected records with ``__reason``, why a record is rejected.
+
+    The partition number, never negative, pins the judgement to this place. A filter on it that is
+    pushed further down would work out the fields twice (in Python too) and judge rows that never
+    become records.
+    """
+    out = project_to_model(model, defaults)(df)
+    placed = out.withColumn("__part", F.spark_partition_id())
+    return placed.withColumn("__reason", F.when(F.col("__part") >= 0, reject_reason(model, out))).drop("__part")
+
+
 def conform(model: T.StructType, defaults: dict[str, object] | None = None) -> Step:
-    """Project to the model and type every field. A bad record fails the job."""
+    """Project to the model and type every field. A bad record fails the job, also when the bad
+    field is not used later.
+    """
 
     def step(df: DataFrame) -> DataFrame:
-        out = project_to_model(model, defaults)(df)
-        reason = reject_reason(model, out)
-        rejected = reason.isNotNull() & (F.spark_partition_id() >= 0)
-        passes = F.when(rejected, F.raise_error(reason).cast("boolean")).otherwise(F.lit(True))
-        # The partition number, never negative, pins the check to this place: pushed further down it would
-        # judge rows that never become records, and it must also run when its fields are not used.
-        return out.filter(passes).select(*_typed(model))
+        reason = F.col("__reason")
+        failed = F.raise_error(reason).cast("boolean")
+        checked = _judged(df, model, defaults).filter(F.when(reason.isNotNull(), failed).otherwise(F.lit(True)))
+        return checked.select(*_typed(model))
 
     return step
 
@@ -125,12 +136,15 @@ def conform(model: T.StructType, defaults: dict[str, object] | None = None) -> S
 def quarantine(
     model: T.StructType, defaults: dict[str, object] | None = None
 ) -> Callable[[DataFrame], tuple[DataFrame, DataFrame]]:
-    """Split into good records (typed) and rejected ones (as they came, plus ``reason``)."""
+    """Split into good records (typed) and rejected ones (as they came, plus ``reason``).
+
+    Each side works out its input when it is used; materialise a costly input first.
+    """
 
     def split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-        out = project_to_model(model, defaults)(df)
-        judged = out.withColumn("reason", reject_reason(model, out))
-        good = judged.filter(F.col("reason").isNull()).select(*_typed(model))
-        return good, judged.filter(F.col("reason").isNotNull())
+        judged = _judged(df, model, defaults)
+        good = judged.filter(F.col("__reason").isNull()).select(*_typed(model))
+        rejected = judged.filter(F.col("__reason").isNotNull())
+        return good, rejected.withColumnRenamed("__reason", "reason")
 
     return split

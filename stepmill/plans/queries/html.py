@@ -13,9 +13,11 @@ def _model(*names):
 
 
 def _decoded(text):
-    """The entities the pages hold, decoded in SQL; the ampersand last."""
-    for entity, character in (("&quot;", "'\"'"), ("&copy;", "chr(169)"), ("&middot;", "chr(183)"), ("&amp;", "'&'")):
-        text = f"replace({text}, '{entity}', {character})"
+    """The entities the pages hold, decoded in SQL; the ampersand last. At the end of a piece of
+    text, where a tag follows, an entity counts without its semicolon too.
+    """
+    for entity, character in (("quot", '"'), ("copy", "\xa9"), ("middot", "\xb7"), ("amp", "&")):
+        text = f"regexp_replace({text}, '&{entity}(;|$)', '{character}', 'g')"
     return text
 
 

@@ -57,6 +57,7 @@ def test_unsupported_selectors(selector):
         ("<p>a<p>b</p>c</p>d", "a b c d"),
         ("<b>x<i>y</b>z", "x y z"),
         ("a<!-- c -->b", "a b"),
+        ("<p>a&amp</p>b", "a& b"),
         ("a &lt;b&gt; &unknown; &amp.", "a <b> &unknown &."),
         ("&#x41;&#66;&#150;", "AB–"),
         ("<style>s</style><script>'</p>'</script>t<template>u</template>", "t"),

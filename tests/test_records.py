@@ -61,6 +61,14 @@ def test_conform_fails_on_a_bad_record(frame, bad, message):
         records.conform(MODEL)(df).select("name").collect()
 
 
+def test_checks_do_not_repeat_the_work_of_earlier_steps(frame):
+    df = frame("name string, category string, price string", [ROWS[0]]).transform(records.normalize_text())
+    good, rejected = records.quarantine(MODEL)(df)
+    for out in (records.conform(MODEL)(df), good, rejected):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1
+
+
 def test_conform_good(frame):
     df = frame("price string, category string, extra int, name string", [("1.5", "c", 1, "a")])
     assert values(records.conform(MODEL)(df)) == [("a", "c", 1.5)]
