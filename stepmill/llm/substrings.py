@@ -270,12 +270,13 @@ def repeated_runs(table: DataFrame, length: int = 200, crowd: int = 4096) -> Dat
     return whole.unionByName(sorted_out).unionByName(crowded)
 
 
-def remove_repeats(docs: DataFrame, *, text: str = "text", length: int = 200, crowd: int = 4096) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, text: str = "text", length: int = 200, crowd: int = 4096, as_text: bool = False) -> DataFrame:
     """All rows with ``n_bytes``, ``n_removed``, ``spans`` (removed byte ranges, end exclusive) and ``kept`` (bytes).
 
     Strings are judged on the input: every copy goes, also the first. Matches never cross rows; repeated
     rows are copies of each other. A null text counts as empty, and texts below ``length`` bytes
-    stay whole. Existing columns of these names are replaced.
+    stay whole. With ``as_text`` the kept bytes come as text, without characters of which a part was cut.
+    Existing columns of these names are replaced.
     """
     added = ["n_bytes", "n_removed", "spans", "kept"]
     others = [c for c in docs.columns if c.lower() not in added]
@@ -283,14 +284,14 @@ def remove_repeats(docs: DataFrame, *, text: str = "text", length: int = 200, cr
     if row != "row":  # the inner steps use plain names
         renamed = docs.withColumnsRenamed({c: f"{c}_" for c in docs.columns if c.lower() == "row"})
         back = {f"{c}_": c for c in docs.columns if c.lower() == "row"}
-        return remove_repeats(renamed, text=f"{text}_" if text.lower() == "row" else text, length=length, crowd=crowd).withColumnsRenamed(back)
+        return remove_repeats(renamed, text=f"{text}_" if text.lower() == "row" else text, length=length, crowd=crowd, as_text=as_text).withColumnsRenamed(back)
     table = bucketed(
         docs.select(*[quoted(c) for c in others], text_of(text).cast("binary").alias(data)).withColumn(row, F.monotonically_increasing_id()),
         row, "texts",
     )
     found = repeated_runs(table.select("row", F.col(data).alias("text")), length, crowd)
     by_row = found.groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias(runs))  # bounded by the text
-    new = StructType.fromDDL("n_bytes bigint, n_removed bigint, spans array<struct<begin: bigint, end: bigint>>, kept binary")
+    new = StructType.fromDDL("n_bytes bigint, n_removed bigint, spans array<struct<begin: bigint, end: bigint>>, kept " + ("string" if as_text else "binary"))
     schema = StructType(table.select(*[quoted(c) for c in others]).schema.fields + new.fields)
 
     def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,7 +306,7 @@ def remove_repeats(docs: DataFrame, *, text: str = "text", length: int = 200, cr
                     pa.array(sizes, pa.int64()),
                     pa.array([n - len(k) for n, k in zip(sizes, kept, strict=True)], pa.int64()),
                     pa.array([[{"begin": b, "end": e} for b, e in s] for s in spans], pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))),
-                    pa.array(kept, pa.binary()),
+                    pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(others)], *columns], names=others + added)
 
