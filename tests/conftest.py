@@ -5,15 +5,14 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-import __spark_entry__  # noqa: E402
-from stepmill.session import local_session  # noqa: E402
+from stepmill.session import local_session, ship  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("tests", cores=4)
     session.sparkContext.setLogLevel("OFF")
-    __spark_entry__._ship(session)
+    ship(session)
     return session
 
 

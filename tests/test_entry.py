@@ -1,9 +1,11 @@
 import __spark_entry__ as entry
+from stepmill.plans.queries import QUERIES, SQL
 from stepmill.session import materialise, shared_folder
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(SQL) == set(QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql())
 
 
 def test_flagship(spark):
