@@ -36,7 +36,7 @@ from stepmill.session import materialise, quoted
 
 GRAM = 32
 #: Bytes of text hashed at once, and bytes of contexts in one suffix array.
-PIECE, ARRAY = 1 << 21, 1 << 23
+PIECE, ARRAY = 1 << 20, 1 << 21
 _MIX = [np.uint64(int.from_bytes(hashlib.blake2b(bytes([i]), digest_size=8).digest(), "little") | 1) for i in range(5)]
 _BYTES = np.array([int.from_bytes(hashlib.blake2b(b"byte" + bytes([i]), digest_size=8).digest(), "little") for i in range(256)], np.uint64)
 
