@@ -237,8 +237,17 @@ def train(docs: DataFrame, learn: Column, *, text: str = "text", lang: str = "la
     if top.select("lang").distinct().limit(settings.max_languages + 1).count() > settings.max_languages:
         raise ValueError(f"more than {settings.max_languages} languages; raise max_languages if that is meant")
     model = build({n: _kept(f, settings.max_grams) for n, f in frames.items()})
-    sample = rows.orderBy(F.xxhash64("key", F.length("text")), "key").select("lang", F.left("text", F.lit(RUN)).alias("text")).limit(settings.calibration_rows)
-    calibrate(model, sample.toPandas())
+    # Only keys are sorted, and the texts are scored where they are.
+    keys = rows.select("key").dropna().distinct().orderBy(F.xxhash64("key"), "key").limit(settings.calibration_rows)
+    sample = rows.join(F.broadcast(keys), "key").select("lang", "text").limit(2 * settings.calibration_rows)
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            entropy, sizes = held.value.entropies(batch["text"].tolist())
+            yield pd.DataFrame({"lang": batch["lang"], "entropy": list(entropy), "size": sizes})
+
+    calibrate(model, sample.mapInPandas(scored, "lang string, entropy array<double>, size double").toPandas())
     return model
 
 
@@ -267,10 +276,10 @@ def build(kept: dict[int, pd.DataFrame]) -> Model:
 
 
 def calibrate(model: Model, sample: pd.DataFrame) -> None:
-    """Sharpness: the one with the best log score. Limits: from the spread of known texts' cross-entropies."""
+    """From ``lang``, ``entropy`` and ``size`` of known texts. Sharpness: the one with the best log score. Limits: from the spread of known texts' cross-entropies."""
     if not model.languages or not len(sample):
         return
-    entropy, sizes = model.entropies(sample["text"].tolist())
+    entropy, sizes = np.array(sample["entropy"].tolist()), sample["size"].to_numpy()
     known = sample["lang"].map({name: i for i, name in enumerate(model.languages)}).to_numpy()
     use = (sizes > 0) & ~pd.isna(known)
     entropy, sizes, known = entropy[use], sizes[use], known[use].astype(int)

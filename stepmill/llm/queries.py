@@ -36,10 +36,8 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents graded by a model of the labelled ones."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = _table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("grade")).filter("grade IS NOT NULL").distinct()
-    # The sample is chosen among the labels, so only its texts are fetched.
-    picked = labels.orderBy(F.xxhash64("doc_id"), "doc_id", "grade").limit(20_000)
-    model = toxicity.train(docs.join(F.broadcast(picked), "doc_id"), max_rows=20_000)
+    labels = _table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("grade"))
+    model = toxicity.train(docs, labels)
     out = toxicity.graded(docs, model)
     return out.select("doc_id", "severity", "grade", "p_toxic", (F.col("p_toxic") >= 0.5).alias("toxic"))
 

@@ -120,21 +120,23 @@ def _descend(rows: list[np.ndarray], grades: np.ndarray, bits: int, support: flo
     return Model(bits, weights, np.cumsum(np.r_[x[len(used)], np.exp(x[len(used) + 1 :])]))
 
 
-def train(labelled: DataFrame, *, key: str = "doc_id", text: str = "text", grade: str = "grade", bits: int = 18, max_rows: int = 20_000) -> Model:
-    """Fit on at most ``max_rows`` labelled rows, picked by hash of the key; rows without a grade are left out.
+def train(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", grade: str = "grade", bits: int = 18, max_rows: int = 20_000) -> Model:
+    """Fit on at most ``max_rows`` labelled keys, picked by hash; rows without a key or grade are left out.
 
-    Only bucket numbers come to the driver. Without a graded row above 0 nothing is toxic. Labels of only two
+    Of a key with several grades the highest counts. Only bucket numbers come to the driver, of at most
+    twice ``max_rows`` rows where keys repeat. Without a graded row above 0 nothing is toxic. Labels of only two
     grades are spread to three by ``spread``.
     """
+    graded_keys = labels.select(F.col(quoted(key)).alias("key"), F.col(quoted(grade)).cast("int").alias("grade")).dropna().groupBy("key").agg(F.max("grade").alias("grade"))
+    picked = graded_keys.orderBy(F.xxhash64("key"), "key").limit(max_rows)
+    texts = docs.select(F.col(quoted(key)).alias("key"), text_of(text).alias("text")).join(F.broadcast(picked), "key")
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         buckets = Buckets(bits)
         for batch in batches:
             yield pd.DataFrame({"grade": batch["grade"], "buckets": [buckets.of(t) for t in batch["text"]]})
 
-    rows = labelled.select(F.col(quoted(key)).alias("key"), text_of(text).alias("text"), F.col(quoted(grade)).cast("int").alias("grade")).dropna(subset=["grade"])
-    picked = rows.orderBy(F.xxhash64("key"), "key", "grade", F.xxhash64("text")).limit(max_rows).select("text", "grade")
-    found = picked.mapInPandas(hashed, "grade int, buckets array<bigint>").toPandas()
+    found = texts.select("text", "grade").mapInPandas(hashed, "grade int, buckets array<bigint>").limit(2 * max_rows).toPandas()
     buckets = [np.asarray(b, np.int64) for b in found["buckets"]]
     return fit(buckets, spread(buckets, found["grade"].to_numpy(np.int64), bits), bits)
 
