@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -37,6 +39,7 @@ def local_session(app: str = "stepmill", cores: int | str = "*") -> SparkSession
 
 
 _shipped: set[str] = set()
+_notes: list[list[str]] = []
 
 
 def ship(spark: SparkSession) -> None:
@@ -71,7 +74,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder; never used twice."""
-    return f"{shared_folder(spark)}/stepmill/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/stepmill/{label}-{uuid.uuid4().hex}"
+    for tables in _notes:
+        tables.append(path)
+    return path
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -83,10 +89,34 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """Note the tables landed inside the block; ``release`` them when their results are written.
+
+    >>> with scratch(spark) as tables:
+    ...     numbered = df.transform(with_row_index(["id"]))
+    ...     numbered.write.parquet(target)
+    >>> release(spark, tables)
+    """
+    tables: list[str] = []
+    _notes.append(tables)
+    try:
+        yield tables
+    finally:
+        _notes.remove(tables)
+
+
+def release(spark: SparkSession, tables: list[str]) -> None:
+    """Remove landed tables. DataFrames that still read them can't be run any more."""
+    while tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(tables.pop())
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def small_table(spark: SparkSession, columns: dict[str, list], types: dict[str, pa.DataType]) -> DataFrame:
     """A table made of configuration or per-partition figures; it becomes part of the plan."""
     arrays = [pa.array(values, type=types[name]) for name, values in columns.items()]
