@@ -101,5 +101,7 @@ def bucketed(df: DataFrame, key: str, label: str) -> DataFrame:
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, label)
     name = f"stepmill_{path.rsplit('-', 1)[1]}"
-    df.repartition(count, key).write.bucketBy(count, key).option("path", path).format("parquet").saveAsTable(name)
+    df.repartition(count, key).write.bucketBy(count, key).options(path=path, compression="zstd").format("parquet").saveAsTable(name)
+    # The shuffle moved all texts; its files go when the driver drops the finished plan.
+    spark._jvm.System.gc()
     return spark.table(name)

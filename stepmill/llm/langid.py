@@ -28,7 +28,7 @@ from stepmill.session import materialise, quoted
 ORDER = 4
 BLANK = 32
 #: Characters are handled in runs of this many, so a very long text needs no more memory than a short one.
-RUN = 1 << 20
+RUN = 1 << 19
 
 _tables: dict[str, np.ndarray] = {}
 
@@ -307,22 +307,18 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
     """
     held = docs.sparkSession.sparkContext.broadcast(model)  # at most max_grams x orders x languages numbers
     added = ["lang_pred", "score", "entropy", "accepted"]
-    kept = [c for c in docs.columns if c.lower() not in added]
-    source = fresh(docs, "_text")
-    schema = docs.select(*[quoted(c) for c in kept]).schema
-    for name, kind in zip(added, ("string", "double", "double", "boolean"), strict=True):
-        schema = schema.add(name, kind)
-
-    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1024):
-                batch = whole.slice(at, 1024)
-                names, score, entropy, accepted = held.value.judge(batch.column(batch.num_columns - 1).to_pylist())
-                columns = [batch.column(i) for i in range(len(kept))]
-                columns += [pa.array([n or "und" for n in names], pa.string()), pa.array(score), pa.array(entropy), pa.array(accepted)]
-                yield pa.RecordBatch.from_arrays(columns, names=kept + added)
-
-    return docs.select(*[quoted(c) for c in kept], text_of(text).alias(source)).mapInArrow(judged, schema)
+    kept = [quoted(c) for c in docs.columns if c.lower() not in added]
+    judgement = fresh(docs, "_judged")
+
+    @F.pandas_udf("lang_pred string, score double, entropy double, accepted boolean")
+    def judged(texts: pd.Series) -> pd.DataFrame:
+        parts = []
+        for at in range(0, len(texts), 1024):
+            names, score, entropy, accepted = held.value.judge(texts.iloc[at : at + 1024].tolist())
+            parts.append(pd.DataFrame({"lang_pred": [n or "und" for n in names], "score": score, "entropy": entropy, "accepted": accepted}))
+        return pd.concat(parts) if parts else pd.DataFrame({c: [] for c in added})
+
+    return docs.select("*", judged(text_of(text)).alias(judgement)).select(*kept, f"{judgement}.*")
 
 
 def held_out(key: Column) -> Column:

@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -51,17 +52,12 @@ def _hash(shingle: bytes) -> int:
 def with_fingerprint(docs: DataFrame, *, text: str = "text", words: int = 3, name: str = "fp") -> DataFrame:
     """All rows with their fingerprint as a signed long. A null text counts as empty."""
 
-    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1024):
-                batch = whole.slice(at, 1024)
-                prints = np.array([fingerprint(t, words) for t in batch.column(batch.num_columns - 1).to_pylist()], np.uint64)
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:-1], pa.array(prints.view(np.int64))], names=[*batch.schema.names[:-1], name]
-                )
-
-    source = fresh(docs, "_text")
-    return docs.select("*", text_of(text).alias(source)).mapInArrow(marked, docs.schema.add(name, "long"))
+    # Only texts go to Python, and only numbers come back.
+    @F.pandas_udf("long")
+    def marked(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64))
+
+    return docs.withColumn(name, marked(text_of(text)))
 
 
 def _layouts(bits: int = 64) -> list[tuple[int, list[int]]]:
