@@ -72,22 +72,32 @@ def mixed(docs: DataFrame, shares: Mapping[str | None, int], *, source: str = "s
         raise ValueError("shares are positive whole numbers")
     added = ["block", "slot", "position"]
     docs = docs.select(*[quoted(c) for c in docs.columns if c.lower() not in added])
-    name, row, first = (fresh(docs, n) for n in ("_source", "_row", "_first"))
+    own = [quoted(c) for c in docs.columns]
+    # The inner columns have names that no table's column has.
+    name, row = fresh(docs, "_mix_source"), fresh(docs, "_mix_row")
     by = [F.col(name).asc_nulls_first(), F.col(quoted(order)).asc_nulls_last()]
     placed = with_position(docs.withColumn(name, F.col(quoted(source)).cast("string")), by, row)
-    starts = placed.groupBy(F.col(name).alias("_of")).agg(F.min(row).alias(first))
+    starts = placed.groupBy(F.col(name).alias("_mix_of")).agg(F.min(row).alias("_mix_first"))
     # One row a source: the weights' table, by contract a small one.
-    found = [r["_of"] for r in starts.select("_of").limit(MAX_PERIOD + 1).collect()]
+    found = [r["_mix_of"] for r in starts.select("_mix_of").limit(MAX_PERIOD + 1).collect()]
     found.sort(key=lambda s: (s is not None, s or ""))
-    plan = _table(docs.sparkSession, found, [shares.get(s, default) for s in found])
-    within = placed.join(F.broadcast(starts), F.col(name).eqNullSafe(F.col("_of"))).withColumn("_in", F.col(row) - F.col(first))
-    blocks = within.withColumn("block", F.expr(f"_in div {block_rows}"))
-    kinds = plan.select("of_source", "share").distinct()
-    turned = blocks.join(F.broadcast(kinds), F.col(name).eqNullSafe(F.col("of_source"))).withColumns({"_turn": F.expr("block % share"), "_round": F.expr("block div share")}).drop("of_source")
-    slotted = turned.join(F.broadcast(plan.drop("share")), F.col(name).eqNullSafe(F.col("of_source")) & (F.col("_turn") == F.col("turn")))
     total = sum(shares.get(s, default) for s in found)
-    kept = slotted.withColumn("slot", F.col("_round") * F.lit(total) + F.col("at")).select(*[quoted(c) for c in docs.columns], "block", "slot", F.expr(f"_in % {block_rows}").alias("_within"))
-    return with_position(kept, [F.col("slot"), F.col("_within")], "position").drop("_within")
+    plan = _table(docs.sparkSession, found, [shares.get(s, default) for s in found])
+    plan = plan.select(*[F.col(c).alias(f"_mix_{c}") for c in plan.columns])
+    kinds = plan.select(F.col("_mix_of_source").alias("_mix_of2"), "_mix_share").distinct()
+    blocks = (
+        placed.join(F.broadcast(starts), F.col(name).eqNullSafe(F.col("_mix_of")))
+        .withColumn("_mix_in", F.col(row) - F.col("_mix_first"))
+        .withColumn("block", F.expr(f"_mix_in div {block_rows}"))
+        .join(F.broadcast(kinds), F.col(name).eqNullSafe(F.col("_mix_of2")))
+    )
+    slotted = blocks.join(
+        F.broadcast(plan.drop("_mix_share")),
+        F.col(name).eqNullSafe(F.col("_mix_of_source")) & (F.expr("block % _mix_share") == F.col("_mix_turn")),
+    )
+    slot = F.expr("block div _mix_share") * F.lit(total) + F.col("_mix_at")
+    kept = slotted.select(*own, "block", slot.alias("slot"), F.expr(f"_mix_in % {block_rows}").alias("_mix_within"))
+    return with_position(kept, [F.col("slot"), F.col("_mix_within")], "position").drop("_mix_within")
 
 
 def in_mix_order(docs: DataFrame, shares: Mapping[str | None, int], **options) -> DataFrame:

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from stepmill.llm.common import fresh, text_of
 from stepmill.session import materialise, quoted
@@ -102,7 +103,7 @@ def pieces(docs: DataFrame, encoder: Callable[[], Callable[[list[bytes]], Iterat
     for name in added[:4]:
         schema = schema.add(name, "long")
     if with_ids:
-        schema = schema.add("ids", "array<int>")
+        schema = schema.add("ids", ArrayType(IntegerType()))
     tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

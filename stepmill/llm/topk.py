@@ -92,7 +92,7 @@ def top_k(table: DataFrame, k: int, every: int, *, key: str = "vec_id", vector:
     meet only those of their own dimension. Repeated keys are rows of their own. A query without candidates has no row.
     """
     rows = clean(table, key, vector)
-    whole = F.transform("vec", lambda x: F.floor(x * scale).cast("double"))
+    whole = F.transform("vec", lambda x: F.when(F.abs(x * scale) < 2.0**52, F.floor(x * scale).cast("double")).otherwise(x * scale))
     length = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x))
     base = rows.withColumn("vec", whole).withColumn("length", length).withColumn("asked", F.col("key") % every == 0)
     sorted_rows = materialise(with_position(base, [F.col("dim"), F.desc("length"), F.col("key")], "row").withColumn("block", div("row", CANDIDATES)), "by-length")

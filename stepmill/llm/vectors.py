@@ -83,7 +83,8 @@ def best(scores: np.ndarray, k: int, slack: float = 0.0) -> tuple[np.ndarray, np
 
 def first_of(rows: np.ndarray, columns: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     """Of picked places the ``k`` best of each row; ties to the smaller column."""
-    order = np.lexsort((columns, -scores, rows))
+    down = ~scores if scores.dtype.kind == "i" else -scores  # -scores would overflow at the smallest integer
+    order = np.lexsort((columns, down, rows))
     ranked = rows[order]
     start = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]]) if len(ranked) else np.zeros(0, int)
     rank = np.arange(len(ranked)) - np.repeat(start, np.diff(np.r_[start, len(ranked)]))
