@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,19 @@ from stepmill.session import quoted, require_columns
 
 # Dtype names and the Spark type each stands for.
 DTYPE_NAMES = {
+    "string[pyarrow]": "string",
+    "string[python]": "string",
+    "uint8": "smallint",
+    "UInt8": "smallint",
+    "uint16": "int",
+    "UInt16": "int",
+    "uint32": "bigint",
+    "UInt32": "bigint",
+    "uint64": "decimal(20,0)",
+    "UInt64": "decimal(20,0)",
+    "datetime64[us]": "timestamp_ntz",
+    "datetime64[ms]": "timestamp_ntz",
+    "datetime64[s]": "timestamp_ntz",
     "int": "bigint",
     "int64": "bigint",
     "Int64": "bigint",
@@ -84,7 +98,7 @@ def cast_columns(type_mapping: dict[str, str]) -> Step:
             if target == "string":
                 casts[name] = as_text(c, df.schema[name].dataType)
             else:
-                casts[name] = strict_cast(c, target, name)
+                casts[name] = strict_cast(_whole(c, name) if _nullable_integer(dtype, df.schema[name].dataType) else c, target, name)
             if dtype == "category":
                 tagged.append(name)
         out = df.withColumns(casts)
@@ -95,6 +109,17 @@ def cast_columns(type_mapping: dict[str, str]) -> Step:
     return step
 
 
+def _nullable_integer(dtype: str, source: T.DataType) -> bool:
+    return re.fullmatch(r"U?Int\d+", dtype) is not None and isinstance(source, (T.DoubleType, T.FloatType, T.DecimalType))
+
+
+def _whole(c: Column, label: str) -> Column:
+    """The nullable integer types take only whole numbers; NaN is a null."""
+    value = F.when(~F.isnan(c.cast("double")), c)
+    message = F.concat(F.lit(f"column {label}: cannot safely cast to an integer: "), c.cast("string"))
+    return F.when(value != F.floor(value), F.raise_error(message).cast("double")).otherwise(value)
+
+
 def strict_cast(c: Column, spark_type: str, label: str) -> Column:
     """A cast that raises on a bad value whatever ``spark.sql.ansi.enabled`` says."""
     value = c.try_cast(spark_type)
@@ -112,7 +137,12 @@ def null_fill(fill_map: dict[str, object]) -> Step:
         known = {name: value for name, value in fill_map.items() if name in df.columns}
         for name, value in known.items():
             _check_fill(df.schema[name].dataType, name, value)
-        return df.fillna(known) if known else df
+        filled = {}
+        for name, value in known.items():
+            c, dtype = F.col(quoted(name)), df.schema[name].dataType
+            present = F.nanvl(c, F.lit(None).cast(dtype)) if isinstance(dtype, (T.DoubleType, T.FloatType)) else c
+            filled[name] = F.coalesce(present, F.lit(value).cast(dtype))
+        return df.withColumns(filled) if filled else df
 
     return step
 

@@ -71,11 +71,11 @@ def target_category(target: str | None, column: str = "category") -> Step:
         if target is None:
             return df
         kept = df.filter(F.col(quoted(column)) == target)
-        if not df.isStreaming and kept.select(column).isEmpty():
-            names = df.select(column).distinct().orderBy(column).limit(1000)
-            raise ValueError(
-                f"category {target!r} not found; available: {[row[0] for row in names.collect()]}"
-            )
+        if not df.isStreaming and kept.select(quoted(column)).isEmpty():
+            names = df.select(quoted(column)).distinct()
+            count, shown = names.count(), [row[0] for row in names.orderBy(quoted(column)).limit(1000).collect()]
+            more = f" (the first {len(shown)} of {count})" if count > len(shown) else ""
+            raise ValueError(f"category {target!r} not found; available{more}: {shown}")
         return kept
 
     return step

@@ -80,13 +80,23 @@ class RecordSchema:
                 raise ValueError(f"{what} names that the model does not have: {unknown}")
 
 
+def _plain_groups(pattern: str) -> str:
+    """Named groups as numbered ones: only the place of a group is used, and Java has other rules for names."""
+    numbers = re.compile(pattern).groupindex
+    plain = re.sub(r"\(\?P=(\w+)\)", lambda m: f"\\{numbers[m[1]]}(?:)", pattern)
+    plain = re.sub(r"\(\?P<\w+>", "(", plain)
+    if re.search(r"\(\?\(|\\Z", plain):
+        raise ValueError(f"conditional groups and \\Z have no like in Spark's patterns: {pattern}")
+    return plain
+
+
 def field_value(raw: Column, rule: TextField) -> Column:
     """The value of a field from the raw text of its element (null: no element)."""
     text = empty_to_null(raw)
     default = F.lit(rule.default).cast("string")
     if rule.regex_pattern:
         # d: only \n ends a line; U: \d, \w, \s and \b cover all of Unicode.
-        pattern = "(?dU)" + re.sub(r"\(\?P<", "(?<", rule.regex_pattern)
+        pattern = "(?dU)" + _plain_groups(rule.regex_pattern)
         group = re.compile(rule.regex_pattern).groups
         hit = F.when(F.regexp_like(text, F.lit(pattern)), F.regexp_extract(text, pattern, group))
         return F.coalesce(hit, default)

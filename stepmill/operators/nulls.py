@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,12 +32,19 @@ def nullify_value(null_map: dict[str, object]) -> Step:
             fitting = [v for v in placeholders if _same_kind(fields[name], v)]
             if fitting:
                 c = F.col(quoted(name))
-                changed[name] = F.when(~c.isin(fitting), c)
+                moment = isinstance(fields[name], (T.DateType, T.TimestampType, T.TimestampNTZType))
+                # Dates meet timestamps at midnight, as timestamps.
+                changed[name] = F.when(~(c.cast("timestamp_ntz").isin([_at_midnight(v) for v in fitting]) if moment else c.isin(fitting)), c)
         return df.withColumns(changed) if changed else df
 
     return step
 
 
+def _at_midnight(value: dt.date) -> Column:
+    whole = value if isinstance(value, dt.datetime) else dt.datetime.combine(value, dt.time())
+    return F.lit(whole.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def _same_kind(dtype: T.DataType, value: object) -> bool:
     """A value of another kind can equal nothing in the column, so it is left out of the test."""
     if isinstance(dtype, T.StringType):
@@ -42,7 +52,11 @@ def _same_kind(dtype: T.DataType, value: object) -> bool:
     if isinstance(dtype, T.BooleanType):
         return isinstance(value, bool)
     if isinstance(dtype, T.NumericType):
-        return isinstance(value, (int, float)) and not isinstance(value, bool)
+        return isinstance(value, (int, float, Decimal)) and not isinstance(value, bool)
+    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return isinstance(value, dt.date)  # a datetime is a date too
+    if isinstance(dtype, (T.BinaryType, T.ArrayType, T.MapType, T.StructType)) and value is not None:
+        raise ValueError(f"no placeholder can be given for a column of type {dtype.simpleString()}")
     return False
 
 

@@ -18,9 +18,6 @@ from pyspark.sql import functions as F
 from stepmill.plans.pipeline import Step
 from stepmill.session import materialise, quoted, require_batch, require_columns, small_table
 
-#: Up to this many leading rows a top-k (each task keeps its best rows) beats sorting everything.
-TOP_K_ROWS = 100_000
-
 _PART, _SEQ = "__part", "__seq"
 # monotonically_increasing_id keeps the position within the partition in its lower 33 bits.
 _POSITION_MASK = (1 << 33) - 1
@@ -96,14 +93,9 @@ def paged_slice(
         _check_order(df, order_by, "paged_slice")
         pages = -(-seed_limit // chunk_limit)
         end = offset + pages * chunk_limit
-        source = df
-        if 0 < end <= TOP_K_ROWS:
-            # A short head of the table: only `end` rows leave the top-k.
-            keys = [F.col(quoted(c)).asc_nulls_last() for c in order_by]
-            source = df.orderBy(*keys).limit(end)
         index = F.col("row_index")
         return (
-            with_row_index(order_by, "row_index")(source)
+            with_row_index(order_by, "row_index")(df)
             .filter((index >= offset) & (index < end))
             .withColumn("page", F.floor((index - F.lit(offset)) / F.lit(chunk_limit)).cast("bigint"))
         )
@@ -120,8 +112,6 @@ def record_cap(max_records: int | None, order_by: Sequence[str]) -> Step:
         if max_records <= 0:
             return df.filter(F.lit(False))
         _check_order(df, order_by, "record_cap")
-        if max_records <= TOP_K_ROWS:
-            return df.orderBy(*[F.col(quoted(c)).asc_nulls_last() for c in order_by]).limit(max_records)
         return with_row_index(order_by, "__row")(df).filter(F.col("__row") < max_records).drop("__row")
 
     return step

@@ -174,7 +174,7 @@ def categorical_columns(df: DataFrame) -> list[str]:
 def category_codes(
     column: str, output_column: str, max_broadcast_rows: int = MAX_BROADCAST_ROWS
 ) -> Step:
-    """Number the sorted distinct values 0, 1, ... and give each row its number; null gets -1.
+    """Number the sorted distinct values 0, 1, ... and give each row its number; null and NaN get -1.
 
     A dictionary of at most ``max_broadcast_rows`` values (long texts as digests, so at most some
     80 bytes each) is broadcast. With a larger one, values
@@ -186,16 +186,17 @@ def category_codes(
         require_batch(df, "category_codes")
         require_columns(df, [column])
         value = F.col(quoted(column))
+        missing = is_missing(value, df.schema[column].dataType)
         dictionary = (
-            df.filter(value.isNotNull())
+            df.filter(~missing)
             .groupBy(value.alias("__value"))
             .agg(F.count(F.lit(1)).alias("__rows"))
             .transform(with_row_index(["__value"], "__code"))
         )
         kept = [F.col(quoted(c)) for c in df.columns if c != output_column]
-        is_text = isinstance(df.schema[column].dataType, T.StringType)
-        key = _short_key(value) if is_text else value
-        entry = _short_key(F.col("__value")) if is_text else F.col("__value")
+        wide = isinstance(df.schema[column].dataType, (T.StringType, T.BinaryType))
+        key = F.when(~missing, _short_key(value) if wide else value)  # a null key finds nothing
+        entry = _short_key(F.col("__value")) if wide else F.col("__value")
         same = key == F.col("__key")
 
         def lookup(rows: DataFrame, codes: DataFrame) -> DataFrame:
@@ -210,9 +211,9 @@ def category_codes(
         # Fewer than `tasks` values can fill more than a fair share of the tasks.
         frequent = dictionary.filter(F.col("__rows") > F.lit((total or 0) / tasks))
         hot = F.broadcast(frequent.select(entry.alias("__key"), "__code"))
-        settled = df.join(hot, same, "left").filter(F.col("__code").isNotNull() | value.isNull())
+        settled = df.join(hot, same, "left").filter(F.col("__code").isNotNull() | missing)
         settled = settled.select(*kept, F.coalesce(F.col("__code"), F.lit(-1)).alias(output_column))
-        others = df.filter(value.isNotNull()).join(hot, same, "left_anti")
+        others = df.filter(~missing).join(hot, same, "left_anti")
         return settled.unionByName(lookup(others, codes))
 
     return step

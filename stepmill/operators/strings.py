@@ -72,6 +72,13 @@ def replace_values(col: str, col_mapping: dict) -> Step:
 
     def step(df: DataFrame) -> DataFrame:
         require_columns(df, [col])
-        return df.replace(col_mapping, subset=[col]) if col_mapping else df
+        if not col_mapping:
+            return df
+        c, dtype, out = F.col(quoted(col)), df.schema[col].dataType, None
+        for old, new in col_mapping.items():
+            hit = c.isNull() if old is None else c == F.lit(old)
+            value = F.lit(new).cast(dtype)
+            out = F.when(hit, value) if out is None else out.when(hit, value)
+        return df.withColumn(col, out.otherwise(c))
 
     return step

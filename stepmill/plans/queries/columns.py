@@ -106,7 +106,7 @@ def rename_replace(spark, sf_dir):
     "cast_cols",
     """
     SELECT o_orderkey::VARCHAR AS o_orderkey, o_custkey::DOUBLE AS o_custkey,
-           trunc(o_totalprice)::BIGINT AS o_totalprice,
+           floor(o_totalprice)::BIGINT AS o_totalprice,
            CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey END::VARCHAR AS digits
     FROM orders
     """,
@@ -115,7 +115,7 @@ def cast_cols(spark, sf_dir):
     digits = F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey").cast("string"))
     return (
         table(spark, sf_dir, "orders")
-        .select("o_orderkey", "o_custkey", "o_totalprice", digits.alias("digits"))
+        .select("o_orderkey", "o_custkey", F.floor("o_totalprice").cast("double").alias("o_totalprice"), digits.alias("digits"))
         .transform(
             columns.cast_columns({
                 "o_orderkey": "str",

@@ -114,14 +114,14 @@ def field_rules(spark, sf_dir):
     return table(spark, sf_dir, "pages").transform(extract_records(schema, keep=["page_id"]))
 
 
-@query("skip_missing", "SELECT page_id FROM pages WHERE false")
+@query("skip_missing", "SELECT page_id FROM pages WHERE regexp_matches(html, '<footer>[^<]*[.]example[.]org')")
 def skip_missing(spark, sf_dir):
-    """A skip field that no page has drops every record."""
+    """Records without the skip field go: here the pages whose footer names no .org host."""
     schema = RecordSchema(
-        Locator("article"),
-        _model("heading", "author"),
-        {"heading": TextField(Locator("h1")), "author": TextField(Locator(".author"))},
-        skip_if_missing=("author",),
+        Locator("body"),
+        _model("heading", "host"),
+        {"heading": TextField(Locator("h1")), "host": TextField(Locator("footer"), regex_pattern=r"[a-z.]+[.]example[.]org")},
+        skip_if_missing=("host",),
     )
     return table(spark, sf_dir, "pages").transform(extract_records(schema, keep=["page_id"])).select("page_id")
 

@@ -1,5 +1,7 @@
 """Null handling."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from stepmill import columns, nulls, strings
@@ -11,7 +13,8 @@ from stepmill.plans.queries.registry import query, table
     """
     SELECT o_orderkey, nullif(CASE WHEN o_orderkey % 7 = 0 THEN 'UNKNOWN' ELSE o_orderstatus END, 'UNKNOWN') AS status,
            CASE WHEN o_orderpriority NOT IN ('1-URGENT', '5-LOW') THEN o_orderpriority END AS o_orderpriority,
-           nullif(o_custkey, 7)::VARCHAR AS o_custkey
+           nullif(o_custkey, 7)::VARCHAR AS o_custkey,
+           nullif(o_orderdate::DATE, DATE '1995-01-01') AS day, nullif(o_orderdate::TIMESTAMP, TIMESTAMP '1996-01-02 00:00:00') AS moment
     FROM orders
     """,
 )
@@ -19,13 +22,15 @@ def nullify_value(spark, sf_dir):
     status = F.when(F.col("o_orderkey") % 7 == 0, "UNKNOWN").otherwise(F.col("o_orderstatus"))
     return (
         table(spark, sf_dir, "orders")
-        .select("o_orderkey", status.alias("status"), "o_orderpriority", "o_custkey")
+        .select("o_orderkey", status.alias("status"), "o_orderpriority", "o_custkey", F.to_date("o_orderdate").alias("day"), F.col("o_orderdate").cast("timestamp_ntz").alias("moment"))
         .transform(
             nulls.nullify_value({
                 "status": "UNKNOWN",
                 "o_orderpriority": ["1-URGENT", "5-LOW"],
                 "o_orderkey": "UNKNOWN",
                 "o_custkey": 7,
+                "day": dt.date(1995, 1, 1),
+                "moment": dt.datetime(1996, 1, 2),
             })
         )
         .withColumn("o_custkey", F.col("o_custkey").cast("string"))

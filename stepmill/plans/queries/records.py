@@ -18,7 +18,7 @@ def _squeezed(text):
     "record_normalize",
     f"""
     SELECT doc_id,
-           nullif(replace({_squeezed("text")}, 'e', 'e'), '') AS text,
+           nullif({_squeezed("text")}, '') AS text,
            nullif(CASE WHEN doc_id % 3 = 0 THEN '' ELSE source END, '') AS source,
            {_squeezed("lang || '  ' || source")} AS label
     FROM documents

@@ -8,7 +8,10 @@ from __future__ import annotations
 
 import csv
 import io
+import re
 import time
+import uuid
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from urllib.parse import urlencode
@@ -85,26 +88,49 @@ class HttpPages:
 class PageFolder:
     """Pages exported to ``<root>/offset=<n>/*.csv`` on any file system all executors reach.
 
-    A complete export (it has a ``_SUCCESS`` mark) that lacks a page ends before that page; as a
-    remote would, that page answers with no rows.
+    Answers records ``offset`` up to ``offset + limit`` whatever the size of the exported pages was: the files
+    that overlap the range are opened and cut. Beyond the last record there are no rows; a page missing
+    before it is an error. The export must be complete (it has a ``_SUCCESS`` mark).
     """
 
     def __init__(self, root: str) -> None:
         self.root = root
+        self.starts: list[int] | None = None
 
     def __call__(self, offset: int, limit: int) -> str:
-        system, root = fs.FileSystem.from_uri(self.root if "://" in self.root else f"file://{self.root}")
-        if system.get_file_info(f"{root}/_SUCCESS").type == fs.FileType.NotFound:
-            raise FileNotFoundError(f"{self.root} is not a complete export")
-        folder = fs.FileSelector(f"{root}/offset={offset}", allow_not_found=True)
+        system, root = fs.FileSystem.from_uri(self.root if "://" in self.root or self.root.startswith("file:") else f"file://{self.root}")
+        if self.starts is None:
+            if system.get_file_info(f"{root}/_SUCCESS").type == fs.FileType.NotFound:
+                raise FileNotFoundError(f"{self.root} is not a complete export")
+            found = (re.fullmatch(r"offset=(\d+)", info.base_name) for info in system.get_file_info(fs.FileSelector(root)))
+            self.starts = sorted(int(m[1]) for m in found if m)
+        first = max(0, bisect_right(self.starts, offset) - 1)
+        out, expected = io.StringIO(newline=""), None
+        writer = csv.writer(out)
+        for start in self.starts[first:]:
+            if expected is None and offset < start < offset + limit or expected not in (None, start):
+                raise FileNotFoundError(f"{self.root} lacks the page before record {start}")
+            if start >= offset + limit:
+                break
+            header, rows = self._page(system, root, start)
+            if expected is None:
+                writer.writerow(header)
+            writer.writerows(rows[max(0, offset - start) : offset + limit - start])
+            expected = start + len(rows)
+            if expected >= offset + limit:
+                break
+        return out.getvalue()
+
+    def _page(self, system: fs.FileSystem, root: str, start: int) -> tuple[list[str], list[list[str]]]:
         texts = []
-        for info in sorted(system.get_file_info(folder), key=lambda i: i.path):
+        for info in sorted(system.get_file_info(fs.FileSelector(f"{root}/offset={start}")), key=lambda i: i.path):
             if info.path.endswith(".csv"):
                 with system.open_input_stream(info.path) as stream:
                     texts.append(stream.read().decode("utf-8"))
-        if len(texts) > 1:
-            raise ValueError(f"page {offset} of {self.root} is spread over {len(texts)} files")
-        return texts[0] if texts else ""
+        if len(texts) != 1:
+            raise ValueError(f"page {start} of {self.root} is spread over {len(texts)} files")
+        rows = [row for row in csv.reader(io.StringIO(texts[0], newline="")) if row]
+        return (rows[0], rows[1:]) if rows else ([], [])
 
 
 @dataclass
@@ -186,8 +212,8 @@ def extract_paged_csv(
     )
     if fetch is None:
         remote = data_source_url.startswith(("http://", "https://"))
-        fetch = HttpPages(data_source_url, sleep_dur) if remote else PageFolder(data_source_url)
-    source = paged_csv_source(fetch, settings)
+        fetch = HttpPages(data_source_url, sleep_dur) if remote else PageFolder(_qualified(spark, data_source_url))
+    source = paged_csv_source(fetch, settings, f"stepmill_pages_{uuid.uuid4().hex}")
     spark.dataSource.register(source)
     pages = spark.read.format(source.name()).load().coalesce(concurrent_batch_limit)
     landed = materialise(pages, "pages")
@@ -211,6 +237,12 @@ def extract_paged_csv(
     return cells.select(*[quoted(c) for c in position], *typed(types))
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme: without one Spark means its default file system."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(hadoop).toString().replace("file:/", "file:///", 1)
+
+
 def extract_paged_csv_lite(spark: SparkSession, *, data_source_url: str, limit: int = 1_000, **options) -> DataFrame:
     """One page of at most 1,000 rows."""
     return extract_paged_csv(

@@ -41,10 +41,27 @@ def test_rename_collision(frame):
 
 
 def test_cast(frame):
-    df = frame("a string, b double, c bigint", [("1", 2.9, 3), (None, None, None)])
+    df = frame("a string, b double, c bigint", [("1", 2.0, 3), (None, None, None), ("2", float("nan"), 4)])
     out = columns.cast_columns({"a": "int64", "b": "Int64", "c": "str"})(df)
     assert [f.dataType for f in out.schema] == [T.LongType(), T.LongType(), T.StringType()]
-    assert values(out) == [(1, 2, "3"), (None, None, None)]
+    assert values(out) == [(1, 2, "3"), (None, None, None), (2, None, "4")]
+
+
+def test_cast_to_nullable_integer_takes_whole_numbers_only(frame):
+    df = frame("a double", [(2.9,)])
+    with pytest.raises(Exception, match="cannot safely cast"):
+        columns.cast_columns({"a": "Int64"})(df).collect()
+    assert values(columns.cast_columns({"a": "int64"})(df)) == [(2,)]
+
+
+def test_more_dtype_names(frame):
+    out = columns.cast_columns({"a": "string[pyarrow]", "b": "UInt8", "c": "datetime64[s]"})(frame("a int, b int, c string", [(1, 2, "2020-01-02")]))
+    assert [f.dataType for f in out.schema] == [T.StringType(), T.ShortType(), T.TimestampNTZType()]
+
+
+def test_fill_on_odd_names(frame):
+    df = frame("x double, y string", [(float("nan"), None), (1.0, "k")]).toDF("a.b", "c d")
+    assert values(columns.null_fill({"a.b": 0.5, "c d": "none"})(df)) == [(0.5, "none"), (1.0, "k")]
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])

@@ -46,14 +46,14 @@ def page(*items, sentinel=listing.SENTINEL):
 
 
 FULL = item(
-    "Atomic    Enterprise\n ",
-    authorLabel="By: Ｊａｓｏｎ\xa0K.\xa0Ｍｉｌｌｅｒ​",
-    narratorLabel="Narrated by: Jon Mills",
-    runtimeLabel="Length: 4 hrs and 10 mins",
-    releaseDateLabel="Release date: 13-04-26",
+    "Quiet    Harbours\n ",
+    authorLabel="By: Ｍａｒａ\xa0T.\xa0Ｖｏｓｓ​",
+    narratorLabel="Narrated by: Ida Brandt",
+    runtimeLabel="Length: 7 hrs and 3 mins",
+    releaseDateLabel="Release date: 02-11-24",
     languageLabel="Language: English",
     ratingsLabel="Ratings:   ",
-    price="£11.26",
+    price="£18.40",
 )
 PAGES = "category string, category_pos int, subcategory string, subcategory_pos int, page int, html string"
 
@@ -61,8 +61,8 @@ PAGES = "category string, category_pos int, subcategory string, subcategory_pos
 def test_listing_record(frame):
     df = frame(PAGES, [("Business & Careers", 0, "Enterprise", 0, 1, page(FULL, item(" "), item("B", price="£7.99")))])
     assert values(listing.listing_records()(df)) == [
-        ("Atomic Enterprise", "Jason K. Miller", "Jon Mills", "4 hrs and 10 mins", "13-04-26", "English", None,
-         "11.26", "Business & Careers", "Enterprise"),
+        ("Quiet Harbours", "Mara T. Voss", "Ida Brandt", "7 hrs and 3 mins", "02-11-24", "English", None,
+         "18.40", "Business & Careers", "Enterprise"),
         ("B", None, None, None, None, None, None, "Free", "Business & Careers", "Enterprise"),
     ]
 

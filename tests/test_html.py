@@ -5,6 +5,7 @@ from pyspark.sql import types as T
 
 from stepmill.functions import markup
 from stepmill.functions.markup import compile_selector, parse_html, select_all
+from stepmill.operators import html
 from stepmill.operators.html import Locator, RecordSchema, TextField, extract_records, html_text
 from stepmill.plans import listing
 from tests.conftest import values
@@ -182,30 +183,32 @@ def test_usual_pages_are_read_by_pattern():
 
 # --- schema checks ---------------------------------------------------------------------------
 
-FIELDS = {n: TextField(Locator(s)) for n, s in (("name", "h3"), ("author", ".author"), ("price", ".price"))}
-ODD = ("i always feel like", "somebody", "is watching me")
+SHOP = model("title", "price", "seller")
+RULES = {"title": TextField(Locator("h2")), "price": TextField(Locator(".cost"))}
 
 
-def test_schema_accepts_model_fields():
-    schema = RecordSchema(Locator(".fake"), listing.LISTING_MODEL, FIELDS, ("name",))
-    assert schema.fields.keys() == {"name", "author", "price"}
-    assert set(schema.skip_if_missing) <= set(schema.model.fieldNames())
+@pytest.mark.parametrize("skip", [(), ("title",), ("title", "price")])
+def test_schema_may_leave_model_fields_out(skip):
+    schema = RecordSchema(Locator("li.offer"), SHOP, RULES, skip)
+    assert list(schema.fields) == ["title", "price"] and tuple(schema.skip_if_missing) == skip
 
 
-def test_schema_rejects_unknown_skip_fields():
-    with pytest.raises(ValueError):
-        RecordSchema(Locator(".fake"), listing.LISTING_MODEL, FIELDS, ODD)
+@pytest.mark.parametrize("skip", [("colour",), ("title", "colour"), ("colour", "size", "price")])
+def test_schema_names_unknown_skip_fields(skip):
+    with pytest.raises(ValueError, match="colour"):
+        RecordSchema(Locator("li.offer"), SHOP, RULES, skip)
 
 
-def test_schema_rejects_unknown_fields():
-    with pytest.raises(ValueError):
-        RecordSchema(Locator(".fake"), listing.LISTING_MODEL, {n: TextField(Locator("h3")) for n in ODD})
+def test_schema_names_unknown_fields():
+    with pytest.raises(ValueError, match="colour"):
+        RecordSchema(Locator("li.offer"), SHOP, {**RULES, "colour": TextField(Locator("i"), default="red")})
 
 
-def test_schema_on_another_model():
-    other = model("i_always_feel_like", "somebody", "is_watching_me")
-    fields = {n: TextField(Locator("h3")) for n in ("i_always_feel_like", "somebody")}
-    assert set(RecordSchema(Locator(".fake"), other, fields, tuple(fields)).fields) == set(fields)
+def test_named_groups_and_back_references(frame):
+    rules = {"title": TextField(Locator("p"), regex_pattern=r"(?P<my_word>\w+) is")}
+    page = frame("html string", [("<div><p>tea is hot</p></div>",)])
+    assert values(extract_records(RecordSchema(Locator("div"), model("title"), rules), keep=[])(page)) == [(0, "tea")]
+    assert html._plain_groups(r"(?P<a_b>x)(?P=a_b)") == r"(x)\1(?:)"
 
 
 def test_rule_checks():

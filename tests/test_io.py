@@ -246,6 +246,21 @@ def test_page_folder(spark, tmp_path):
         paged.PageFolder(str(tmp_path))(0, 10)
 
 
+def test_page_folder_answers_any_range(spark, tmp_path):
+    root = str(tmp_path / "pages.csv")
+    pages = spark.range(30).selectExpr("int(id / 10) * 10 AS offset", "id % 10 AS row_pos", "id")
+    paged.export_pages(pages, root)
+    out = extract_paged_csv(spark, data_source_url=root, offset=3, seed_limit=40, chunk_limit=7)
+    assert sorted(values(out)) == [(i,) for i in range(3, 30)]
+    assert sorted(values(extract_paged_csv_lite(spark, data_source_url=root, limit=5))) == [(i,) for i in range(5)]
+    next((tmp_path / "pages.csv" / "offset=10").glob("*.csv")).unlink()
+    with pytest.raises(ValueError, match="page 10"):
+        paged.PageFolder(root)(5, 10)
+    (tmp_path / "pages.csv" / "offset=10").rename(tmp_path / "gone")
+    with pytest.raises(FileNotFoundError, match="lacks"):
+        paged.PageFolder(root)(5, 10)
+
+
 def test_http_pages(monkeypatch):
     seen = []
 

@@ -1,3 +1,6 @@
+import datetime as dt
+from decimal import Decimal
+
 import math
 
 import pytest
@@ -62,3 +65,9 @@ def test_replace_values(frame):
     assert values(out, "g") == ["b", "a", None, None]
     with pytest.raises(ValueError):
         strings.replace_values("zz", {"a": "b"})(df)
+
+
+def test_dates_and_decimals_as_placeholders(frame):
+    df = frame("d date, t timestamp, n decimal(9,2)", [(dt.date(1900, 1, 1), dt.datetime(1900, 1, 1), Decimal("1.50")), (dt.date(2000, 1, 1), dt.datetime(1900, 1, 1, 5), Decimal("2.00"))])
+    out = values(nulls.nullify_value({"d": dt.date(1900, 1, 1), "t": dt.datetime(1900, 1, 1), "n": Decimal("1.5")})(df))
+    assert out == [(None, None, None), (dt.date(2000, 1, 1), dt.datetime(1900, 1, 1, 5), Decimal("2.00"))]

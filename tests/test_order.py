@@ -1,9 +1,12 @@
 import random
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from stepmill import order, union_pages
+from stepmill.session import release, scratch
 from tests.conftest import values
 
 
@@ -47,9 +50,7 @@ def test_page_plan(spark):
 
 
 @pytest.mark.parametrize("seed, chunk, offset", [(25, 10, 5), (30, 10, 0), (7, 7, 95), (10, 5, -7)])
-@pytest.mark.parametrize("top_k", [0, 100_000])
-def test_paged_slice(spark, monkeypatch, seed, chunk, offset, top_k):
-    monkeypatch.setattr(order, "TOP_K_ROWS", top_k)
+def test_paged_slice(spark, seed, chunk, offset):
     df = spark.range(100).select((99 - F.col("id")).alias("id"))
     got = values(order.paged_slice(["id"], offset=offset, seed_limit=seed, chunk_limit=chunk)(df))
     pages = -(-seed // chunk)
@@ -59,9 +60,7 @@ def test_paged_slice(spark, monkeypatch, seed, chunk, offset, top_k):
     assert sorted(got) == expected
 
 
-@pytest.mark.parametrize("top_k", [0, 100_000])
-def test_record_cap(spark, monkeypatch, top_k):
-    monkeypatch.setattr(order, "TOP_K_ROWS", top_k)
+def test_record_cap(spark):
     df = spark.range(100).repartition(5)
     assert sorted(values(order.record_cap(7, ["id"])(df))) == [(i,) for i in range(7)]
     assert order.record_cap(None, ["id"])(df).count() == 100
@@ -70,8 +69,18 @@ def test_record_cap(spark, monkeypatch, top_k):
     assert order.record_cap(1000, ["id"])(df).count() == 100
 
 
-def test_small_cap_is_a_top_k(spark):
-    assert "TakeOrderedAndProject" in plan(order.record_cap(7, ["id"])(spark.range(100)))
+def test_caps_gather_nothing_in_one_task(spark):
+    text = plan(order.record_cap(7, ["id"])(spark.range(100)))
+    assert "TakeOrdered" not in text and "SinglePartition" not in text
+
+
+def test_scratch_is_empty_after_release(spark, tmp_path):
+    with scratch(spark) as tables:
+        order.with_row_index(["id"])(spark.range(100)).write.parquet(str(tmp_path / "out"))
+    places = [Path(t.removeprefix("file:")) for t in tables]
+    assert places and all(p.exists() for p in places)
+    release(spark, tables)
+    assert not any(p.exists() for p in places)
 
 
 def test_union_merges_types_and_columns(frame):

@@ -98,3 +98,15 @@ def test_streams_are_refused(spark):
         profile.cast_categorical()(stream)
     with pytest.raises(ValueError, match="stream"):
         profile.category_codes("v", "c")(stream)
+
+
+@pytest.mark.parametrize("most", [0, 100])
+def test_codes_treat_nan_as_missing(frame, most):
+    df = frame("v double", [(2.0,), (float("nan"),), (1.0,), (None,)])
+    assert sorted(c for _, c in values(profile.category_codes("v", "code", most)(df))) == [-1, -1, 0, 1]
+
+
+@pytest.mark.parametrize("most", [0, 100])
+def test_codes_of_binary_values(frame, most):
+    df = frame("v binary", [(bytearray(b"b" * 5000),), (bytearray(b"a"),), (None,)])
+    assert sorted(c for _, c in values(profile.category_codes("v", "code", most)(df))) == [-1, 0, 1]

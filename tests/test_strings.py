@@ -95,3 +95,8 @@ def test_double_text(frame):
     numbers = [0.0, 1.5, 1e16, 1.5e-5, 0.0001, 0.00012345, 0.001, -2e7, 1e22, 1.234e-10, 9007199254740993.0, math.inf, -math.inf]
     out = frame("a double", [(n,) for n in numbers]).select(text.double_text(F.col("a")).alias("t"))
     assert values(out, "t") == [repr(n) for n in numbers]
+
+
+def test_replace_on_odd_names(frame):
+    df = frame("v string", [("a",), ("b",), (None,)]).toDF("a.b")
+    assert values(strings.replace_values("a.b", {"a": "b", "b": "a"})(df)) == [("b",), ("a",), (None,)]
