@@ -78,7 +78,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     sized = docs.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
-    return sharding.sharded(sized, 40).select(
+    return sharding.sharded(sized, 40, keep_text=False).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
 

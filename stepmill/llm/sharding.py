@@ -92,12 +92,13 @@ def _joined(windows: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def sharded(docs: DataFrame, shards: int, *, key: str = "doc_id", text: str = "text", overhead: int = 16) -> DataFrame:
+def sharded(docs: DataFrame, shards: int, *, key: str = "doc_id", text: str = "text", overhead: int = 16, keep_text: bool = True) -> DataFrame:
     """All rows with ``size`` (bytes of the text plus ``overhead``), ``shard`` and ``slot`` (gapless from 0 in a shard).
 
     Rows of equal texts share a shard, so one text's copies bound how even shards can be; null is a group apart
     from the empty text, of the same size. With fewer groups than shards some shards stay empty. Slots
-    go by group, then ``key``; ties and repeated rows in any order. An empty table gives no rows.
+    go by group, then ``key``; ties and repeated rows in any order. An empty table gives no rows. Without
+    ``keep_text`` the text is read for its digest and size only and doesn't travel.
     """
     if shards < 1:
         raise ValueError("at least one shard")
@@ -106,6 +107,8 @@ def sharded(docs: DataFrame, shards: int, *, key: str = "doc_id", text: str = "t
     group, row = fresh(docs, "_group"), fresh(docs, "_row")
     bytes_ = F.octet_length(text_of(text)).cast("long") + overhead
     marked = docs.withColumns({group: _group(text), "size": bytes_})
+    if not keep_text:
+        marked, docs = marked.drop(text), docs.drop(text)
     groups = marked.groupBy(group).agg(F.sum("size").alias("_all"))
     ordered = materialise(with_position(groups, [F.col(group)], "_at", {"_end": "_all"}).select(F.col(group).alias("_of"), "_all", "_end"), "groups")
     cuts = minimax_cuts(ordered, "_all", "_end", shards)
