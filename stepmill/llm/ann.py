@@ -14,12 +14,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stepmill.llm.common import with_position
+from stepmill.llm.common import lowest_by_hash, with_position
 from stepmill.llm.vectors import CANDIDATES, QUERIES, best, clean, div, first_of, in_blocks, matrix, ranked, searched
 from stepmill.session import materialise
 
@@ -37,13 +36,15 @@ class Router:
         return np.argsort(-(vectors @ self.weights + self.bias), axis=1, kind="stable")
 
 
-def neighbour_graph(vectors: np.ndarray, k: int) -> np.ndarray:
-    """For each vector the places of its ``k`` largest inner products with others."""
+def neighbour_graph(vectors: np.ndarray, k: int, of: np.ndarray | None = None) -> np.ndarray:
+    """For each vector (or those at the places ``of``) the places of its ``k`` largest inner products with others."""
+    of = np.arange(len(vectors)) if of is None else of
     out = []
-    for at in range(0, len(vectors), 1024):
-        near = vectors[at : at + 1024] @ vectors.T
-        near[np.arange(len(near)), np.arange(at, at + len(near))] = -np.inf
-        out.append(np.argpartition(-near, k - 1, axis=1)[:, :k])
+    for at in range(0, len(of), 64):  # a few megabytes at once
+        some = of[at : at + 64]
+        near = vectors[some] @ vectors.T
+        near[np.arange(len(some)), some] = -np.inf
+        out.append(np.argpartition(near, len(vectors) - k, axis=1)[:, -k:])
     return np.concatenate(out)
 
 
@@ -108,7 +109,7 @@ def fitted(sample: np.ndarray, *, parts: int, recall: float, neighbours: int = 2
     order = router.order(sample)
     filed = order[:, 0]
     asked = np.arange(0, len(sample), max(1, len(sample) // 500))
-    true = neighbour_graph(sample, min(neighbours, len(sample) - 1))[asked]
+    true = neighbour_graph(sample, min(neighbours, len(sample) - 1), asked)
     place = np.argsort(order[asked], axis=1)  # at which probe each partition comes
     at = np.take_along_axis(place, filed[true], axis=1)
     shares = [(at < n).mean() for n in range(1, parts + 1)]
@@ -151,11 +152,12 @@ def nearest(table: DataFrame, k: int, every: int, *, key: str = "vec_id", vector
     A query whose partitions hold fewer than ``k`` others is searched against all rows.
     """
     rows = clean(table, key, vector).filter(F.exists("vec", lambda x: x != 0))
-    sample: pd.DataFrame = rows.orderBy(F.xxhash64("key", "vec"), "key").select("dim", "vec").limit(sample_rows).toPandas()
-    dim = int(sample["dim"].mode()[0]) if len(sample) else 0
-    picked = [v for v in sample["vec"] if len(v) == dim]
+    sample = lowest_by_hash(rows, ["key", "vec"], sample_rows, "key").select("dim", "vec").toArrow()
+    dims = sample.column("dim").to_numpy()
+    dim = int(np.bincount(dims).argmax()) if len(dims) else 0
     # Copies of one vector would fill whole partitions of the sample's graph; one of each is enough to learn from.
-    vectors = np.unique(np.array(picked), axis=0) if picked else np.zeros((0, dim))
+    vectors = np.unique(matrix(sample.column("vec").filter(pa.array(dims == dim))), axis=0) if dim else np.zeros((0, 0))
+    del sample
     router = fitted(vectors, parts=parts, recall=recall, neighbours=k)
     routed = rows.mapInArrow(lambda b: _routed(b, router, dim), "key bigint, vec array<double>, dim int, parts array<bigint>")
     filed = materialise(with_position(routed.withColumn("part", F.col("parts")[0]), [F.col("part"), F.col("key")], "row"), "filed").withColumn("block", div("row", CANDIDATES))

@@ -32,6 +32,21 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
+def lowest_by_hash(rows: DataFrame, columns: Sequence[str], limit: int, then: str) -> DataFrame:
+    """The ``limit`` rows whose columns have the smallest hash (ties by ``then``): a sample that is the same in every run.
+
+    A sort's limit takes ``limit`` rows of every split to one task. So rows whose hash is far too large for
+    the table's number of rows are left out before; if too few stay (many equal rows), all rows are sorted.
+    """
+    mark = F.xxhash64(*[quoted(c) for c in columns])
+    count = rows.count()
+    if count > 8 * limit:
+        low = rows.filter(mark < F.lit(-(1 << 63) + (4 * limit << 64) // count))
+        if low.limit(limit).count() == limit:
+            rows = low
+    return rows.orderBy(mark, quoted(then)).limit(limit)
+
+
 def with_position(df: DataFrame, order: Sequence[Column], name: str, sums: dict[str, str] | None = None) -> DataFrame:
     """Number the rows from 0 in the given order; ties come in any order, once and for all.
 

@@ -337,3 +337,24 @@ def test_sharding_on_odd_rows(odd, none):
         groups.setdefault(r["text"] and hashlib.md5(r["text"].encode()).hexdigest(), set()).add(r["shard"])
     assert all(len(s) == 1 for s in groups.values())
     assert sharding.sharded(none, 40).count() == 0
+
+
+def test_lowest_by_hash_is_the_same_with_and_without_leaving_rows_out(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(5000).select(F.col("id").alias("key"))
+    want = [r["key"] for r in rows.orderBy(F.xxhash64("key"), "key").limit(100).collect()]
+    assert [r["key"] for r in common.lowest_by_hash(rows, ["key"], 100, "key").collect()] == want
+    equal = spark.range(5000).select(F.lit(3).cast("long").alias("key"))
+    assert common.lowest_by_hash(equal, ["key"], 100, "key").count() == 100
+    assert common.lowest_by_hash(rows.limit(0), ["key"], 100, "key").count() == 0
+
+
+def test_fit_in_runs_equals_the_fit_in_one(monkeypatch):
+    random = np.random.default_rng(3)
+    rows = [random.choice(200, 12, replace=False) for _ in range(400)]
+    grades = np.array([min(2, int((r < 10).sum())) for r in rows])
+    whole = toxicity.fit(rows, grades, 8, rounds=40)
+    monkeypatch.setattr(toxicity, "RUN", 100)
+    parts = toxicity.fit(rows, grades, 8, rounds=40)
+    assert np.allclose(whole.weights, parts.weights) and np.allclose(whole.thresholds, parts.thresholds)
