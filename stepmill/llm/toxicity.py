@@ -18,12 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stepmill.llm.common import fresh, text_of
+from stepmill.llm.common import fresh, lowest_by_hash, text_of
 from stepmill.session import quoted
 
 _WORD = re.compile(r"\w+")
 #: Words whose buckets a task remembers at most.
 REMEMBERED = 1_000_000
+#: Words of learning texts handled at once.
+RUN = 1 << 20
 
 
 class Buckets(dict):
@@ -89,8 +91,17 @@ def _descend(rows: list[np.ndarray], grades: np.ndarray, bits: int, support: flo
     if not top:
         return Model(bits, np.zeros(1 << bits), np.array([40.0]))
     sizes = np.array([len(r) for r in rows])
-    of, at = np.repeat(np.arange(len(rows)), sizes), np.concatenate(rows)
-    used, at = np.unique(at, return_inverse=True)
+    there = np.zeros(1 << bits, bool)
+    for row in rows:
+        there[row] = True
+    used = np.flatnonzero(there)
+    number = np.cumsum(there, dtype=np.int32) - 1
+    # Rows and words in runs of a million or so, so a step's arrays stay small.
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // RUN, prepend=-1))
+    runs = [
+        (begin, end, np.repeat(np.arange(end - begin, dtype=np.int32), sizes[begin:end]), number[np.concatenate(rows[begin:end])])
+        for begin, end in zip(cuts.tolist(), [*cuts[1:].tolist(), len(rows)], strict=True)
+    ]
     share = [max(np.mean(grades >= k), 1e-6) for k in range(1, top + 1)]
     # Thresholds are the first one and positive steps, kept apart by their logarithms.
     theta = -np.log(np.array(share) / (1 - np.minimum(share, 1 - 1e-6)))
@@ -98,7 +109,7 @@ def _descend(rows: list[np.ndarray], grades: np.ndarray, bits: int, support: flo
     m, v = np.zeros_like(x), np.zeros_like(x)
     for step in range(1, rounds + 1):
         w, t = x[: len(used)], np.cumsum(np.r_[x[len(used)], np.exp(x[len(used) + 1 :])])
-        score = np.bincount(of, w[at], len(rows))
+        score = np.concatenate([np.bincount(of, w[at], end - begin) for begin, end, of, at in runs])
         p = np.c_[np.ones(len(rows)), 1 / (1 + np.exp(-(score[:, None] - t).clip(-40, 40))), np.zeros(len(rows))]
         slope = p * (1 - p)
         own = np.arange(len(rows))
@@ -109,7 +120,8 @@ def _descend(rows: list[np.ndarray], grades: np.ndarray, bits: int, support: flo
         for k in range(1, top + 1):
             d_t[k - 1] = (np.sum((slope[:, k] / chance)[grades == k]) - np.sum((slope[:, k] / chance)[grades == k - 1])) / len(rows)
         tail = np.cumsum(d_t[::-1])[::-1]
-        g = np.r_[np.bincount(at, d_score[of], len(used)), tail[0], tail[1:] * np.exp(x[len(used) + 1 :])]
+        d_words = sum(np.bincount(at, d_score[begin:end][of], len(used)) for begin, end, of, at in runs)
+        g = np.r_[d_words, tail[0], tail[1:] * np.exp(x[len(used) + 1 :])]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         pace = rate / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         x -= pace * (m / (1 - 0.9**step))
@@ -128,16 +140,16 @@ def train(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str
     grades are spread to three by ``spread``.
     """
     graded_keys = labels.select(F.col(quoted(key)).alias("key"), F.col(quoted(grade)).cast("int").alias("grade")).dropna().groupBy("key").agg(F.max("grade").alias("grade"))
-    picked = graded_keys.orderBy(F.xxhash64("key"), "key").limit(max_rows)
+    picked = lowest_by_hash(graded_keys, ["key"], max_rows, "key")
     texts = docs.select(F.col(quoted(key)).alias("key"), text_of(text).alias("text")).join(F.broadcast(picked), "key")
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         buckets = Buckets(bits)
         for batch in batches:
-            yield pd.DataFrame({"grade": batch["grade"], "buckets": [buckets.of(t) for t in batch["text"]]})
+            yield pd.DataFrame({"grade": batch["grade"], "buckets": [buckets.of(t).astype(np.int32).tobytes() for t in batch["text"]]})
 
-    found = texts.select("text", "grade").mapInPandas(hashed, "grade int, buckets array<bigint>").limit(2 * max_rows).toPandas()
-    buckets = [np.asarray(b, np.int64) for b in found["buckets"]]
+    found = texts.select("text", "grade").mapInPandas(hashed, "grade int, buckets binary").limit(2 * max_rows).toPandas()
+    buckets = [np.frombuffer(b, np.int32) for b in found["buckets"]]
     return fit(buckets, spread(buckets, found["grade"].to_numpy(np.int64), bits), bits)
 
 
@@ -149,8 +161,11 @@ def spread(rows: list[np.ndarray], grades: np.ndarray, bits: int, severe: int =
     if not len(grades) or grades.max() != 1:
         return grades
     toxic = grades == 1
-    all_ = np.bincount(np.concatenate(rows), minlength=1 << bits)
-    bad = np.bincount(np.concatenate([r for r, t in zip(rows, toxic, strict=True) if t]), minlength=1 << bits)
+    all_, bad = np.zeros((2, 1 << bits), np.int64)
+    for row, t in zip(rows, toxic, strict=True):  # a row names a word once
+        all_[row] += 1
+        if t:
+            bad[row] += 1
     telling = (bad >= 5) & (bad >= 0.9 * all_)
     return grades + (toxic & (np.array([telling[r].sum() for r in rows]) >= severe))
 
