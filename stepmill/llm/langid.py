@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stepmill.llm.common import fresh, text_of
+from stepmill.llm.common import fresh, lowest_by_hash, text_of
 from stepmill.session import materialise, quoted
 
 ORDER = 4
@@ -238,7 +238,7 @@ def train(docs: DataFrame, learn: Column, *, text: str = "text", lang: str = "la
         raise ValueError(f"more than {settings.max_languages} languages; raise max_languages if that is meant")
     model = build({n: _kept(f, settings.max_grams) for n, f in frames.items()})
     # Only keys are sorted, and the texts are scored where they are.
-    keys = rows.select("key").dropna().distinct().orderBy(F.xxhash64("key"), "key").limit(settings.calibration_rows)
+    keys = lowest_by_hash(rows.select("key").dropna().distinct(), ["key"], settings.calibration_rows, "key")
     sample = rows.join(F.broadcast(keys), "key").select("lang", "text").limit(2 * settings.calibration_rows)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
