@@ -242,7 +242,8 @@ def repeated_runs(table: DataFrame, length: int = 200, crowd: int = 4096) -> Dat
         table.select("row", "text").mapInArrow(lambda b: _anchors(b, length), "row bigint, first int, last int, anchor bigint, context bigint"),
         "anchors",
     )
-    several = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    # Landed, so that the join has plain shuffles on both sides and a frequent anchor's rows can be split.
+    several = materialise(anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "several")
     shared = materialise(anchors.join(several, "anchor"), "shared-anchors")
     place = F.min(F.struct("row", "first", "last")).alias("place")
     classes = materialise(shared.groupBy("anchor", "context").agg(F.count("*").alias("copies"), place), "contexts")
