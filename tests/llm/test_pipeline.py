@@ -1,9 +1,10 @@
 """The pipeline: each stage on its own input, and the whole."""
 
+import random
 from collections import Counter
 
 import corpus_pipeline as pipeline
-from stepmill.llm import queries
+from stepmill.llm import nearsets, queries
 
 
 OTHER = " ".join(f"other{k * k} words" for k in range(90))
@@ -34,6 +35,36 @@ def test_stages(spark, frame):
     assert Counter({i: sum(r["length"] for r in packed if r["doc_id"] == i) for i in tokens}) == Counter(tokens)
 
 
+def test_near_duplicates_are_those_of_brute_force(spark, frame):
+    rng = random.Random(5)
+    texts = []
+    for _ in range(30):
+        base = [f"w{rng.randrange(4000)}" for _ in range(rng.randrange(5, 300))]
+        for _ in range(6):
+            copy = list(base)
+            for _ in range(rng.randrange(1 + len(copy) // 20)):
+                copy[rng.randrange(len(copy))] = f"v{rng.randrange(4000)}"
+            texts.append(" ".join(copy))
+    texts += ["a b", "A  b", "a c", "", " ", "a b c d e", "a b c d e f"]
+    edges = nearsets.brute_links(texts)
+    assert any(texts[a] != texts[b] for a, b in edges)
+    root = list(range(len(texts)))
+    for a, b in edges:
+        low, high = sorted((root[a], root[b]))
+        root = [low if r == high else r for r in root]
+    got = nearsets.keep_one(frame("doc_id bigint, text string", list(enumerate(texts)))).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(set(root))
+
+
+def test_near_duplicates_of_the_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = docs.select("doc_id", "text").collect()
+    ids, texts = [r["doc_id"] for r in rows], [r["text"] for r in rows]
+    pairs = [(ids[a], ids[b]) for a, b in nearsets.brute_links(texts) if texts[a] != texts[b]]
+    kept = {r["doc_id"] for r in pipeline.near_duplicates(spark, docs, "").collect()}
+    assert pairs and not [p for p in pairs if set(p) <= kept]
+
+
 def test_stages_without_rows(spark, frame):
     empty = docs(frame).limit(0)
     for _, stage in pipeline.STAGES:
