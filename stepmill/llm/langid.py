@@ -5,14 +5,14 @@ four characters is one 64-bit number (16 bits a character; characters beyond 16
 the models are sorted arrays of such hashes with a count per language, searched by bisection.
 
 Counting looks at every labelled training text: each task counts 4-grams in numpy and hands on sums,
-and Spark adds them up; the lower orders count distinct left neighbours in Spark too. What the driver
-gathers is the finished model, at most ``max_grams`` n-grams a language and order: where there are more,
-the rarest counts are left to the lower orders.
+and Spark adds them up; the lower orders count distinct left neighbours in Spark too. The driver gathers
+all counts, none left out: the n-grams each language really has, 14 bytes each, whatever others have. They
+grow with the kinds of n-grams, not with the text, and must fit into a process's memory.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,10 +20,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from stepmill.llm.common import fresh, lowest_by_hash, text_of
-from stepmill.session import materialise, quoted
+from stepmill.session import materialise, quoted, small_table
 
 ORDER = 4
 BLANK = 32
@@ -121,37 +120,62 @@ def _distinct(grams: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
 
 @dataclass
 class Settings:
-    """Bounds of the model: n-grams kept a language and order, languages, and calibration texts."""
+    """Bounds of the model: languages, and calibration texts."""
 
-    max_grams: int = 400_000
     max_languages: int = 1_000
     calibration_rows: int = 4_000
 
 
+@dataclass
+class Sparse:
+    """Numbers by sorted key and language; what isn't there is 0."""
+
+    keys: np.ndarray
+    starts: np.ndarray  # of each key's entries, and their end
+    of: np.ndarray  # the languages
+    values: np.ndarray
+
+    def rows(self, wanted: np.ndarray, languages: int) -> np.ndarray:
+        """[wanted key, language]"""
+        out = np.zeros((len(wanted), languages))
+        if not len(self.keys):
+            return out
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        there = np.flatnonzero(self.keys[at] == wanted)
+        first, size = self.starts[at[there]], self.starts[at[there] + 1] - self.starts[at[there]]
+        entries = np.arange(size.sum()) + np.repeat(first - np.cumsum(size) + size, size)
+        out[np.repeat(there, size), self.of[entries]] = self.values[entries]
+        return out
+
+
+def _sparse(keys: np.ndarray, of: np.ndarray, values: np.ndarray) -> Sparse:
+    """From entries sorted by key and language; those of the same key and language are added up."""
+    new = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (of[1:] != of[:-1])]) if len(keys) else np.zeros(0, np.int64)
+    sums = np.add.reduceat(values, new, dtype=np.float64).astype(np.float32) if len(keys) else np.zeros(0, np.float32)
+    keys, of = keys[new], of[new]
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    return Sparse(keys[starts], np.r_[starts, len(keys)], of, sums)
+
+
 @dataclass
 class Model:
     languages: list[str]
-    keys: list[np.ndarray]  # per order 1..4, sorted
-    counts: list[np.ndarray]  # per order, [n-gram, language]
-    contexts: list[np.ndarray]  # per order 2..4 the sorted contexts (order 1: none)
-    totals: list[np.ndarray]
-    followers: list[np.ndarray]
+    counts: list[Sparse]  # per order 1..4
+    totals: list[Sparse]  # by context (order 1: the one context 0)
+    followers: list[Sparse]
     discounts: np.ndarray  # [order, language]
     sharpness: float = 1.0
     limits: np.ndarray | None = None  # the largest accepted cross-entropy a language
 
     def log_prob(self, grams: np.ndarray) -> np.ndarray:
         """Log probability of the last character after the first three, [n-gram, language]."""
-        probability = np.full((len(grams), len(self.languages)), 1.0 / (len(self.keys[0]) + 1))
+        probability = np.full((len(grams), len(self.languages)), 1.0 / (len(self.counts[0].keys) + 1))
         for n in range(1, ORDER + 1):
             suffix = grams & np.uint64((1 << 16 * n) - 1)
-            count = _looked_up(self.keys[n - 1], self.counts[n - 1], suffix)
-            if n == 1:
-                total, kinds = self.totals[0], self.followers[0]
-            else:
-                context = suffix >> np.uint64(16)
-                total = _looked_up(self.contexts[n - 1], self.totals[n - 1], context)
-                kinds = _looked_up(self.contexts[n - 1], self.followers[n - 1], context)
+            count, total, kinds = (
+                table[n - 1].rows(wanted, len(self.languages))
+                for table, wanted in ((self.counts, suffix), (self.totals, suffix >> np.uint64(16)), (self.followers, suffix >> np.uint64(16)))
+            )
             d = self.discounts[n - 1]
             with np.errstate(divide="ignore", invalid="ignore"):
                 mixed = (np.maximum(count - d, 0) + d * kinds * probability) / total
@@ -191,13 +215,6 @@ class Model:
         return mean + slack + spread * 8 / np.sqrt(np.maximum(sizes, 1))
 
 
-def _looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    if not len(keys):
-        return np.zeros((len(wanted), values.shape[1]))
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where((keys[at] == wanted)[:, None], values[at], 0)
-
-
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(language, text) to (language, 4-gram, count), added up batch by batch."""
     for batch in batches:
@@ -211,12 +228,11 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-def _kept(grams: DataFrame, limit: int) -> pd.DataFrame:
-    """Bring at most ``limit`` n-grams a language to the driver, the most frequent ones."""
-    at_count = grams.groupBy("lang", "n").agg(F.count("*").alias("kinds"))
-    running = Window.partitionBy("lang").orderBy(F.desc("n"))
-    least = at_count.withColumn("above", F.sum("kinds").over(running)).filter(F.col("above") <= limit).groupBy("lang").agg(F.min("n").alias("least"))
-    return grams.join(F.broadcast(least), "lang").filter("n >= least").select("lang", "gram", "n").toPandas()
+def _gathered(grams: DataFrame, languages: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All n-grams, the numbers of their languages, and their counts."""
+    numbers = small_table(grams.sparkSession, {"lang": languages, "of": list(range(len(languages)))}, {"lang": pa.string(), "of": pa.int16()})
+    table = grams.join(F.broadcast(numbers), "lang").select("gram", "of", F.col("n").cast("float")).toArrow()
+    return table.column("gram").to_numpy().view(np.uint64), table.column("of").to_numpy(), table.column("n").to_numpy()
 
 
 def train(docs: DataFrame, learn: Column, *, text: str = "text", lang: str = "lang", key: str = "doc_id", settings: Settings | None = None) -> Model:
@@ -234,9 +250,10 @@ def train(docs: DataFrame, learn: Column, *, text: str = "text", lang: str = "la
     frames = {ORDER: top}
     for n in range(ORDER - 1, 0, -1):
         frames[n] = frames[n + 1].groupBy("lang", F.col("gram").bitwiseAND(F.lit((1 << 16 * n) - 1)).alias("gram")).agg(F.count("*").alias("n"))
-    if top.select("lang").distinct().limit(settings.max_languages + 1).count() > settings.max_languages:
+    languages = sorted(r["lang"] for r in top.select("lang").distinct().limit(settings.max_languages + 1).collect())
+    if len(languages) > settings.max_languages:
         raise ValueError(f"more than {settings.max_languages} languages; raise max_languages if that is meant")
-    model = build({n: _kept(f, settings.max_grams) for n, f in frames.items()})
+    model = build(languages, (_gathered(frames[n], languages) for n in range(1, ORDER + 1)))
     # Only keys are sorted, and the texts are scored where they are.
     keys = lowest_by_hash(rows.select("key").dropna().distinct(), ["key"], settings.calibration_rows, "key")
     sample = rows.join(F.broadcast(keys), "key").select("lang", "text").limit(2 * settings.calibration_rows)
@@ -251,27 +268,19 @@ def train(docs: DataFrame, learn: Column, *, text: str = "text", lang: str = "la
     return model
 
 
-def build(kept: dict[int, pd.DataFrame]) -> Model:
-    languages = sorted(set().union(*(set(f["lang"]) for f in kept.values())))
-    number = {name: i for i, name in enumerate(languages)}
-    model = Model(languages, [], [], [], [], [], np.full((ORDER, len(languages)), 0.5))
-    for n in range(1, ORDER + 1):
-        frame = kept[n]
-        keys, row = np.unique(frame["gram"].to_numpy(np.int64).view(np.uint64), return_inverse=True)
-        of = frame["lang"].map(number).to_numpy(np.int64)
-        counts = np.zeros((len(keys), len(languages)), np.float32)
-        counts[row, of] = frame["n"].to_numpy()
-        contexts, at = np.unique(keys >> np.uint64(16), return_inverse=True)
-        totals, followers = np.zeros((2, len(contexts), len(languages)), np.float32)
-        np.add.at(totals, at, counts)
-        np.add.at(followers, at, counts > 0)
-        once, twice = (counts == 1).sum(0), (counts == 2).sum(0)
-        model.discounts[n - 1] = np.where(once > 0, once / np.maximum(once + 2 * twice, 1), 0.5).clip(0.1, 0.95)
-        model.keys.append(keys)
-        model.counts.append(counts)
-        model.contexts.append(contexts)
-        model.totals.append(totals[0] if n == 1 and len(totals) else totals)
-        model.followers.append(followers[0] if n == 1 and len(followers) else followers)
+def build(languages: list[str], orders: Iterable[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Model:
+    """From all n-grams of each order, the numbers of their languages, and their counts."""
+    model = Model(languages, [], [], [], np.full((ORDER, len(languages)), 0.5))
+    for n, (grams, of, counts) in enumerate(orders):
+        once, twice = (np.bincount(of[counts == c], minlength=len(languages)) for c in (1, 2))
+        model.discounts[n] = np.where(once > 0, once / np.maximum(once + 2 * twice, 1), 0.5).clip(0.1, 0.95)
+        order = np.lexsort((of, grams))
+        model.counts.append(_sparse(grams[order], of[order], counts[order]))
+        context = grams >> np.uint64(16)
+        order = np.lexsort((of, context))
+        context, of = context[order], of[order]
+        model.totals.append(_sparse(context, of, counts[order]))
+        model.followers.append(_sparse(context, of, np.ones(len(of), np.float32)))
     return model
 
 
@@ -305,7 +314,7 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
     language by name. A text is refused when the best model's cross-entropy lies beyond what texts of
     its length and language show. Existing columns of these names are replaced.
     """
-    held = docs.sparkSession.sparkContext.broadcast(model)  # at most max_grams x orders x languages numbers
+    held = docs.sparkSession.sparkContext.broadcast(model)
     added = ["lang_pred", "score", "entropy", "accepted"]
     kept = [quoted(c) for c in docs.columns if c.lower() not in added]
     judgement = fresh(docs, "_judged")

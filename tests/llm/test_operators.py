@@ -217,6 +217,20 @@ def test_language_on_odd_rows(frame, odd, none):
     assert {r["lang_pred"] for r in langid.identify(odd, empty).collect()} == {"und"} and langid.identify(none, model).count() == 0
 
 
+def test_language_models_keep_all_counts(frame):
+    rng = random.Random(3)
+    han = "".join(chr(0x4E00 + rng.randrange(20_000)) for _ in range(450_000))
+    model = langid.train(frame("doc_id bigint, text string, lang string", [(1, han, "zh"), (2, "the cat sat", "en")]), F.lit(True))
+    zh = model.languages.index("zh")
+    grams, _, counts = next((g, e, np.unique(g, return_counts=True)) for _, g, e in langid._runs([han]))
+    kinds, n = counts
+    assert len(kinds) > 400_000
+    assert (model.counts[3].rows(kinds, 2)[:, zh] == n).all()
+    once, twice = (n == 1).sum(), (n == 2).sum()
+    assert model.discounts[3, zh] == min(0.95, once / (once + 2 * twice))
+    assert model.totals[3].rows(kinds >> np.uint64(16), 2)[:, zh].min() > 0
+
+
 # URLs
 
 def test_urls(frame):
