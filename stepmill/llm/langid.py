@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stepmill.llm.common import fresh, lowest_by_hash, text_of
+from stepmill.llm.common import fresh, text_of
 from stepmill.session import materialise, quoted, small_table
 
 ORDER = 4
@@ -120,10 +120,9 @@ def _distinct(grams: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
 
 @dataclass
 class Settings:
-    """Bounds of the model: languages, and calibration texts."""
+    """Bounds of the model: languages."""
 
     max_languages: int = 1_000
-    calibration_rows: int = 4_000
 
 
 @dataclass
@@ -239,7 +238,7 @@ def train(docs: DataFrame, learn: Column, *, text: str = "text", lang: str = "la
     """Count and calibrate on the rows where ``learn`` is true and text and language aren't null.
 
     Without such rows the model has no language and judges nothing. Calibration (sharpness of the
-    probabilities, limits for rejection) uses at most ``calibration_rows`` texts, picked by hash.
+    probabilities, each language's own limits for rejection) uses all these texts once more.
     """
     settings = settings or Settings()
     rows = docs.filter(learn).select(F.col(quoted(key)).alias("key"), F.col(quoted(lang)).alias("lang"), F.col(quoted(text)).alias("text")).dropna(subset=["lang", "text"])
@@ -254,17 +253,7 @@ def train(docs: DataFrame, learn: Column, *, text: str = "text", lang: str = "la
     if len(languages) > settings.max_languages:
         raise ValueError(f"more than {settings.max_languages} languages; raise max_languages if that is meant")
     model = build(languages, (_gathered(frames[n], languages) for n in range(1, ORDER + 1)))
-    # Only keys are sorted, and the texts are scored where they are.
-    keys = lowest_by_hash(rows.select("key").dropna().distinct(), ["key"], settings.calibration_rows, "key")
-    sample = rows.join(F.broadcast(keys), "key").select("lang", "text").limit(2 * settings.calibration_rows)
-    held = docs.sparkSession.sparkContext.broadcast(model)
-
-    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            entropy, sizes = held.value.entropies(batch["text"].tolist())
-            yield pd.DataFrame({"lang": batch["lang"], "entropy": list(entropy), "size": sizes})
-
-    calibrate(model, sample.mapInPandas(scored, "lang string, entropy array<double>, size double").toPandas())
+    calibrate(model, rows)
     return model
 
 
@@ -284,27 +273,44 @@ def build(languages: list[str], orders: Iterable[tuple[np.ndarray, np.ndarray, n
     return model
 
 
-def calibrate(model: Model, sample: pd.DataFrame) -> None:
-    """From ``lang``, ``entropy`` and ``size`` of known texts. Sharpness: the one with the best log score. Limits: from the spread of known texts' cross-entropies."""
-    if not model.languages or not len(sample):
+def calibrate(model: Model, rows: DataFrame) -> None:
+    """From all known texts (``lang``, ``text``). Sharpness: the one with the best log score. Limits: from the spread of the cross-entropies of a language's own texts."""
+    if not model.languages:
         return
-    entropy, sizes = np.array(sample["entropy"].tolist()), sample["size"].to_numpy()
-    known = sample["lang"].map({name: i for i, name in enumerate(model.languages)}).to_numpy()
-    use = (sizes > 0) & ~pd.isna(known)
-    entropy, sizes, known = entropy[use], sizes[use], known[use].astype(int)
-    if not len(known):
+    held = rows.sparkSession.sparkContext.broadcast(model)
+    number = {name: i for i, name in enumerate(model.languages)}
+    sharpness = (1, 2, 4, 8, 16, 32)
+
+    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 1024):
+                part = batch.iloc[at : at + 1024]
+                entropy, sizes = held.value.entropies(part["text"].tolist())
+                known = part["lang"].map(number).to_numpy()
+                use = (sizes > 0) & ~pd.isna(known)
+                entropy, known = entropy[use], known[use].astype(int)
+                places = np.arange(len(known))
+                relative = entropy - entropy.min(1, keepdims=True)
+                losses = {f"loss{s}": relative[places, known] * s + np.log(np.exp(-relative * s).sum(1)) for s in sharpness}
+                yield pd.DataFrame({"of": known, "own": entropy[places, known], **losses})
+
+    names = [f"loss{s}" for s in sharpness]
+    seen = (
+        rows.select("lang", "text")
+        .mapInPandas(scored, "of int, own double, " + ", ".join(f"{n} double" for n in names))
+        .groupBy("of")
+        .agg(F.percentile_approx("own", [0.5, 0.99], 10_000).alias("at"), *[F.sum(n).alias(n) for n in names])
+        .collect()
+    )
+    if not seen:
         return
-    relative = entropy - entropy.min(1, keepdims=True)
-    own = relative[np.arange(len(known)), known]
-    losses = {s: np.mean(own * s + np.log(np.exp(-relative * s).sum(1))) for s in (1, 2, 4, 8, 16, 32)}
-    model.sharpness = float(min(losses, key=losses.get))
-    limits = np.zeros((3, len(model.languages)))
-    for k in range(len(model.languages)):
-        mine = entropy[known == k, k]
-        mean = np.median(mine) if len(mine) else np.median(entropy.min(1))
+    model.sharpness = float(min(sharpness, key=lambda s: sum(r[f"loss{s}"] for r in seen)))
+    # Every language has learned from texts of its own, so each has its own limits.
+    model.limits = np.zeros((3, len(model.languages)))
+    for r in seen:
+        middle, high = r["at"]
         # A character's own surprise spreads over about two nats; half a nat is left for style.
-        limits[:, k] = mean, 2.0, 0.5 + (np.quantile(mine, 0.99) - mean if len(mine) else 0)
-    model.limits = limits
+        model.limits[:, r["of"]] = middle, 2.0, 0.5 + high - middle
 
 
 def identify(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:

@@ -231,6 +231,17 @@ def test_language_models_keep_all_counts(frame):
     assert model.totals[3].rows(kinds >> np.uint64(16), 2)[:, zh].min() > 0
 
 
+def test_rare_languages_have_their_own_limits(spark):
+    many = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("the cat sat on the mat").alias("text"), F.lit("en").alias("lang"))
+    rng = random.Random(4)
+    few = [(100_000 + i, "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(400)), "zh") for i in range(3)]
+    model = langid.train(many.unionByName(spark.createDataFrame(few, many.schema)), F.lit(True))
+    zh = model.languages.index("zh")
+    own = model.entropies([t for _, t, _ in few])[0][:, zh]
+    assert model.limits[0, zh] == pytest.approx(np.median(own)) and model.limits[2, zh] == pytest.approx(0.5 + own.max() - np.median(own))
+    assert all(r["accepted"] for r in langid.identify(spark.createDataFrame(few, many.schema), model).collect())
+
+
 # URLs
 
 def test_urls(frame):
