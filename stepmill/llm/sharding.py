@@ -2,8 +2,9 @@
 
 Rows with equal texts form a group that is never parted. Groups stand in the order of their text's digest,
 which is as good as random and the same in every run. Over their running sizes the smallest capacity is
-sought with which a greedy walk needs no more than the given number of shards; the cuts of that walk are
-the shards.
+sought with which a greedy walk needs no more than the given number of shards. Beneath that capacity the cuts
+are balanced: a group larger than an even share has a shard of its own, and what lies between such groups is cut
+evenly over the other shards.
 
 The walk needs only group ends close to a cut, so the driver never sees all groups. It looks at the ends
 through bins (the largest end in each of some thousand bins), which bounds the capacity and with it
@@ -82,6 +83,64 @@ def minimax_cuts(groups: DataFrame, size: str, end: str, shards: int, bins: int
             bins *= 4
 
 
+def ideal_cuts(large: list[tuple[int, int]], total: int, shards: int) -> list[int]:
+    """Even places to cut: around each oversized group of ``large`` (size, end), and evenly in the runs between."""
+    large, rest, alone = sorted(large, reverse=True), total, 0
+    while alone < min(len(large), shards - 1) and large[alone][0] * (shards - alone) > rest:
+        rest -= large[alone][0]
+        alone += 1
+    while True:
+        runs, at = [], 0
+        for size, end in sorted(large[:alone], key=lambda g: g[1]):
+            runs.append((at, end - size))
+            at = end
+        runs.append((at, total))
+        runs = [(a, b) for a, b in runs if a < b]
+        if len(runs) + alone <= shards:
+            break
+        alone -= 1  # more runs than shards: the smallest oversized group shares
+    parts = [1] * len(runs)
+    for _ in range(shards - alone - len(runs) if runs else 0):
+        most = max(range(len(runs)), key=lambda j: (runs[j][1] - runs[j][0]) / parts[j])
+        parts[most] += 1
+    places = {a + (b - a) * i // n for (a, b), n in zip(runs, parts, strict=True) for i in range(n + 1)}
+    places |= {place for size, end in large[:alone] for place in (end - size, end)}
+    return sorted(places - {0, total})
+
+
+def balanced_cuts(groups: DataFrame, size: str, end: str, shards: int) -> list[int]:
+    """Cuts with the capacity of ``minimax_cuts``, each as near to its even place as that capacity allows."""
+    greedy = minimax_cuts(groups, size, end, shards)
+    total = groups.agg(F.max(end)).first()[0]
+    if total is None or shards == 1:
+        return []
+    capacity = max(b - a for a, b in zip([0, *greedy], [*greedy, total], strict=True))
+    large = [(r[0], r[1]) for r in groups.select(size, end).orderBy(F.desc(size), end).limit(shards).collect()]
+    ideal = ideal_cuts(large, total, shards)
+
+    def around(places: list[int]) -> list[tuple[int, int]]:
+        """For each place the last end up to it (or 0), and the first one from it on."""
+        sides = [c for p in places for c in (F.max(F.when(F.col(end) <= p, F.col(end))), F.min(F.when(F.col(end) >= p, F.col(end))))]
+        found = groups.agg(*sides).first()
+        return [(found[2 * i] or 0, found[2 * i + 1] or total) for i in range(len(places))]
+
+    # From each of these on, the remaining shards suffice.
+    least, at = [], total
+    for _ in ideal:
+        at = around([at - capacity])[0][1] if at > capacity else 0
+        least.append(at)
+    cuts, at = [], 0
+    for place, low, sides in zip(ideal, reversed(least), around(ideal) if ideal else [], strict=True):
+        fit = [e for e in (*sides, low) if max(low, at + 1) <= e <= at + capacity and e < total]
+        if not fit and at < low:  # fewer places than shards may not do
+            return greedy
+        if not fit:  # the place lies too far: as far as the capacity goes
+            fit = [e for e in around([at + capacity])[0][:1] if at < e < total] if place > at + capacity else [at]
+        at = min(fit or [at], key=lambda e: abs(e - place))
+        cuts.append(at)
+    return cuts
+
+
 def _joined(windows: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for a, b in sorted(windows):
@@ -111,7 +170,7 @@ def sharded(docs: DataFrame, shards: int, *, key: str = "doc_id", text: str = "t
         marked, docs = marked.drop(text), docs.drop(text)
     groups = marked.groupBy(group).agg(F.sum("size").alias("_all"))
     ordered = materialise(with_position(groups, [F.col(group)], "_at", {"_end": "_all"}).select(F.col(group).alias("_of"), "_all", "_end"), "groups")
-    cuts = minimax_cuts(ordered, "_all", "_end", shards)
+    cuts = balanced_cuts(ordered, "_all", "_end", shards)
     shard = F.size(F.filter(F.array(*[F.lit(c).cast("long") for c in cuts]), lambda c: c < F.col("_end"))) if cuts else F.lit(0)
     placed = marked.join(ordered.select("_of", shard.cast("int").alias("shard")), F.col(group) == F.col("_of")).drop("_of")
     numbered = with_position(placed, [F.col("shard"), F.col(group), F.col(quoted(key)).asc_nulls_last()], row)

@@ -352,6 +352,31 @@ def test_cuts_through_windows_are_the_same(frame):
         assert sharding.minimax_cuts(table, "size", "end", 10, bins, few) == whole
 
 
+def test_cuts_are_balanced_around_hot_groups(frame):
+    for hot in (0, 0.05, 0.1, 1 / 3):
+        rng = random.Random(2)
+        sizes = [rng.randint(20, 100) for _ in range(4000)]
+        if hot:
+            sizes[1500] = int(sum(sizes) * hot / (1 - hot))
+        ends = np.cumsum(sizes).tolist()
+        table = frame("size bigint, end bigint", list(zip(sizes, ends, strict=True)))
+        cuts = sharding.balanced_cuts(table, "size", "end", 40)
+        greedy = sharding.minimax_cuts(table, "size", "end", 40)
+        shards = np.diff([0, *cuts, ends[-1]])
+        assert len(cuts) == 39 and set(cuts) < set(ends)
+        assert shards.max() == np.diff([0, *greedy, ends[-1]]).max()
+        others = np.sort(shards)[: 39 if hot else 40]
+        assert others.min() > 0.9 * others.max()
+    for seed in range(4):
+        rng = random.Random(seed)
+        sizes = [rng.choice([16, 17, 300, 5000]) for _ in range(rng.randint(2, 30))]
+        ends, shards = np.cumsum(sizes).tolist(), rng.randint(2, 7)
+        table = frame("size bigint, end bigint", list(zip(sizes, ends, strict=True)))
+        greedy = sharding.minimax_cuts(table, "size", "end", shards)
+        got = sharding.balanced_cuts(table, "size", "end", shards)
+        assert max(np.diff([0, *got, ends[-1]])) <= max(np.diff([0, *greedy, ends[-1]])) and got == sorted(got)
+
+
 def test_sharding_on_odd_rows(odd, none):
     got = sharding.sharded(odd, 3).collect()
     assert len(got) == len(ODD) and all(r["size"] == len((r["text"] or "").encode()) + 16 for r in got)
