@@ -1,4 +1,4 @@
-"""The ten operators over the given tables, one query each, with SQL where SQL can express it."""
+"""The operators over the given tables, one query each, with SQL where SQL can express it."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepmill.llm import ann, langid, mixing, packing, sharding, simhash, substrings, topk, toxicity, urlfilter
+from stepmill.llm import ann, bond, langid, mixing, packing, periodic, quality, sharding, simhash, substrings, topk, toxicity, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,7 +87,54 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 20, 20)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_packing, op2_toxicity, op3_substrings, op4_simhash, op5_langid, op6_urls, op7_topk, op8_mixing, op9_sharding, op10_ann)}
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return bond.hard_negatives(table.withColumn("label", moved))
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out_of = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "quality").filter(~out_of)
+    out = quality.scored(docs, quality.train(docs, labels))
+    return out.select("doc_id", F.coalesce(out_of, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """Every tenth text by hash goes on with its own words, period after period, from some word on; all others stay."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    found = docs.withColumn("h", h).withColumn("words", F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))))
+    sized = found.withColumns({"g": F.expr("h div 10"), "n": F.size("words")}).withColumn("a", F.when(F.col("n") > 0, F.expr("CAST(g % n AS INT)")))
+    sized = sized.withColumn("p", F.expr("CAST(1 + (n - a) div (3 + g % 8) AS INT)"))
+    period = F.expr("slice(words, a + 1, p)")
+    again = F.flatten(F.array_repeat(period, F.expr("CAST(ceil((n - a) / p) AS INT)")))
+    periodic = F.array_join(F.slice(F.concat(F.expr("slice(words, 1, a)"), again), 1, F.col("n")), " ")
+    return sized.select("doc_id", F.when(F.col("n") > 0, periodic).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = periodic.periodic_runs(_with_periods(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    # Runs come by start, then period, so the first of equal exponents stays.
+    best = F.aggregate("runs", none, lambda b, r: F.when(b.isNull() | (r["length"] * b["period"] > b["length"] * r["period"]), r).otherwise(b))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    return out.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (op1_packing, op2_toxicity, op3_substrings, op4_simhash, op5_langid, op6_urls, op7_topk, op8_mixing, op9_sharding, op10_ann, op11_negatives, op12_quality, op13_periodic)
+}
 
 
 def _url_sql() -> str:
@@ -141,6 +188,25 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE rank <= 5
 """
 
+_NEGATIVES_SQL = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND label IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(CAST(a.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+    FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.e) = len(c.e) WHERE a.vec_id % 50 = 0
+), p AS (
+    SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+       s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
+
 # The schedule is worked out slot by slot: of the released blocks the one with the earliest deadline goes.
 MIXING_SQL = f"""
 WITH RECURSIVE s AS (
@@ -168,4 +234,4 @@ plan AS (
 SELECT doc_id, source, block, slot, row_number() OVER (ORDER BY slot, within) - 1 AS position FROM t
 """
 
-SQL: dict[str, str] = {"op6_urls": _url_sql(), "op7_topk": _TOPK_SQL, "op8_mixing": MIXING_SQL}
+SQL: dict[str, str] = {"op6_urls": _url_sql(), "op7_topk": _TOPK_SQL, "op8_mixing": MIXING_SQL, "op11_negatives": _NEGATIVES_SQL}
