@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +22,16 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def apart(df: DataFrame, names: Iterable[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with other names for its columns called like ``names``, and what picks its own columns again from a result."""
+    clashing = {n.lower() for n in names}
+    aside: dict[str, str] = {}
+    for i, c in enumerate(df.columns):
+        if c.lower() in clashing:
+            aside[c] = fresh(df, f"_own_{i}")
+    return df.withColumnsRenamed(aside), lambda out: out.select(*[F.col(quoted(aside.get(c, c))).alias(c) for c in df.columns])
+
+
 def text_of(name: str) -> Column:
     """The text column with null as empty text."""
     return F.coalesce(F.col(quoted(name)).cast("string"), F.lit(""))
@@ -52,9 +62,10 @@ def with_position(df: DataFrame, order: Sequence[Column], name: str, sums: dict[
 
     ``sums`` adds running totals (``{new column: summed column}``, own row included). The sorted rows
     are landed in the shared folder, so that later jobs see the same numbers. Only per-partition
-    counts and totals are gathered, one row for each partition; no row goes through a single task.
+    counts and totals are gathered, one row for each partition; no row goes through a single task. Columns
+    of the new names are replaced.
     """
-    part, seq, sums = fresh(df, "_part"), fresh(df, "_seq"), sums or {}
+    part, seq, of, start, sums = *(fresh(df, n) for n in ("_part", "_seq", "_of", "_start")), sums or {}
     placed = materialise(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
@@ -64,23 +75,21 @@ def with_position(df: DataFrame, order: Sequence[Column], name: str, sums: dict[
         }),
         "position",
     )
-    totals = {f"_total{i}": F.sum(quoted(c)) for i, c in enumerate(sums.values())}
-    before = Window.orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    totals = {fresh(df, f"_total{i}"): F.sum(quoted(c)) for i, c in enumerate(sums.values())}
+    rows = fresh(df, "_rows")
+    before = Window.orderBy(of).rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        placed.groupBy(F.col(part).alias("_of"))
-        .agg(F.count("*").alias("_rows"), *[c.alias(n) for n, c in totals.items()])
-        .select(
-            "_of",
-            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
-            *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"{n}_before") for n in totals],
-        )
+        placed.groupBy(F.col(part).alias(of))
+        .agg(F.count("*").alias(rows), *[c.alias(n) for n, c in totals.items()])
+        .select(of, *[F.coalesce(F.sum(a).over(before), F.lit(0)).alias(b) for a, b in ((rows, start), *((n, n) for n in totals))])
     )
-    out = placed.join(F.broadcast(starts), F.col(part) == F.col("_of"))
+    out = placed.join(F.broadcast(starts), F.col(part) == F.col(of))
     running = Window.partitionBy(part).orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
-    added = {name: F.col("_start") + F.col(seq)}
-    for i, (new, column) in enumerate(sums.items()):
-        added[new] = F.col(f"_total{i}_before") + F.sum(quoted(column)).over(running)
-    return out.withColumns(added).select(*[quoted(c) for c in df.columns], *[quoted(c) for c in added])
+    added = {name: F.col(start) + F.col(seq)}
+    for total, (new, column) in zip(totals, sums.items(), strict=True):
+        added[new] = F.col(total) + F.sum(quoted(column)).over(running)
+    kept = [quoted(c) for c in df.columns if c.lower() not in {n.lower() for n in added}]
+    return out.select(*kept, *[c.alias(n) for n, c in added.items()])
 
 
 def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:

@@ -313,6 +313,10 @@ def calibrate(model: Model, rows: DataFrame) -> None:
         model.limits[:, r["of"]] = middle, 2.0, 0.5 + high - middle
 
 
+#: What ``identify`` adds.
+ADDED = ("lang_pred", "score", "entropy", "accepted")
+
+
 def identify(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
     """Add ``lang_pred``, ``score`` (0 to 1), ``entropy`` (nats a character) and ``accepted`` to all rows.
 
@@ -321,8 +325,7 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
     its length and language show. Existing columns of these names are replaced.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
-    added = ["lang_pred", "score", "entropy", "accepted"]
-    kept = [quoted(c) for c in docs.columns if c.lower() not in added]
+    kept = [quoted(c) for c in docs.columns if c.lower() not in ADDED]
     judgement = fresh(docs, "_judged")
 
     @F.pandas_udf("lang_pred string, score double, entropy double, accepted boolean")
@@ -331,7 +334,7 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
         for at in range(0, len(texts), 1024):
             names, score, entropy, accepted = held.value.judge(texts.iloc[at : at + 1024].tolist())
             parts.append(pd.DataFrame({"lang_pred": [n or "und" for n in names], "score": score, "entropy": entropy, "accepted": accepted}))
-        return pd.concat(parts) if parts else pd.DataFrame({c: [] for c in added})
+        return pd.concat(parts) if parts else pd.DataFrame({c: [] for c in ADDED})
 
     return docs.select("*", judged(text_of(text)).alias(judgement)).select(*kept, f"{judgement}.*")
 

@@ -61,45 +61,50 @@ def _table(spark: SparkSession, names: list[str | None], shares: list[int]) -> D
     return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), kind)))
 
 
-def mixed(docs: DataFrame, shares: Mapping[str | None, int], *, source: str = "source", order: str = "doc_id", block_rows: int = 16, default: int = 1) -> DataFrame:
-    """All rows with ``block``, ``slot`` and ``position`` (gapless from 0, the order of the mix).
+def mixed(
+    docs: DataFrame, shares: Mapping[str | None, int], *, source: str = "source", order: str = "doc_id", block_rows: int = 16, default: int = 1,
+    names: tuple[str, str, str] = ("block", "slot", "position"),
+) -> DataFrame:
+    """All rows with ``block``, ``slot`` and ``position`` (gapless from 0, the order of the mix), under ``names``.
 
     ``shares`` are whole numbers by source, ``default`` for sources not named (null is a source of its own).
     Within a source rows go by ``order`` (nulls last; ties and repeated rows one after another, in any
-    order). Existing columns of the added names are replaced. An empty table gives no rows.
+    order). Existing columns of the three names are replaced, all others stay. An empty table gives no rows.
     """
     if default < 1 or any(s < 1 for s in shares.values()):
         raise ValueError("shares are positive whole numbers")
-    added = ["block", "slot", "position"]
-    docs = docs.select(*[quoted(c) for c in docs.columns if c.lower() not in added])
+    block, slot, position = names
+    docs = docs.select(*[quoted(c) for c in docs.columns if c.lower() not in {n.lower() for n in names}])
     own = [quoted(c) for c in docs.columns]
     # The inner columns have names that no table's column has.
-    name, row = fresh(docs, "_mix_source"), fresh(docs, "_mix_row")
+    name, row, of, first, within, kind, share = (fresh(docs, f"_mix_{n}") for n in ("source", "row", "of", "first", "in", "kind", "share"))
     by = [F.col(name).asc_nulls_first(), F.col(quoted(order)).asc_nulls_last()]
     placed = with_position(docs.withColumn(name, F.col(quoted(source)).cast("string")), by, row)
-    starts = placed.groupBy(F.col(name).alias("_mix_of")).agg(F.min(row).alias("_mix_first"))
+    starts = placed.groupBy(F.col(name).alias(of)).agg(F.min(row).alias(first))
     # One row a source: the weights' table, by contract a small one.
-    found = [r["_mix_of"] for r in starts.select("_mix_of").limit(MAX_PERIOD + 1).collect()]
+    found = [r[0] for r in starts.select(of).limit(MAX_PERIOD + 1).collect()]
     found.sort(key=lambda s: (s is not None, s or ""))
     total = sum(shares.get(s, default) for s in found)
     plan = _table(docs.sparkSession, found, [shares.get(s, default) for s in found])
-    plan = plan.select(*[F.col(c).alias(f"_mix_{c}") for c in plan.columns])
-    kinds = plan.select(F.col("_mix_of_source").alias("_mix_of2"), "_mix_share").distinct()
+    source_of, turn, at = (fresh(docs, f"_mix_plan_{n}") for n in ("source", "turn", "at"))
+    plan = plan.select(F.col("of_source").alias(source_of), F.col("share").alias(share), F.col("turn").alias(turn), F.col("at").alias(at))
+    kinds = plan.select(F.col(source_of).alias(kind), share).distinct()
     blocks = (
-        placed.join(F.broadcast(starts), F.col(name).eqNullSafe(F.col("_mix_of")))
-        .withColumn("_mix_in", F.col(row) - F.col("_mix_first"))
-        .withColumn("block", F.expr(f"_mix_in div {block_rows}"))
-        .join(F.broadcast(kinds), F.col(name).eqNullSafe(F.col("_mix_of2")))
+        placed.join(F.broadcast(starts), F.col(name).eqNullSafe(F.col(of)))
+        .withColumn(within, F.col(row) - F.col(first))
+        .withColumn(block, F.expr(f"{quoted(within)} div {block_rows}"))
+        .join(F.broadcast(kinds), F.col(name).eqNullSafe(F.col(kind)))
     )
     slotted = blocks.join(
-        F.broadcast(plan.drop("_mix_share")),
-        F.col(name).eqNullSafe(F.col("_mix_of_source")) & (F.expr("block % _mix_share") == F.col("_mix_turn")),
+        F.broadcast(plan.drop(share)),
+        F.col(name).eqNullSafe(F.col(source_of)) & (F.col(quoted(block)) % F.col(share) == F.col(turn)),
     )
-    slot = F.expr("block div _mix_share") * F.lit(total) + F.col("_mix_at")
-    kept = slotted.select(*own, "block", slot.alias("slot"), F.expr(f"_mix_in % {block_rows}").alias("_mix_within"))
-    return with_position(kept, [F.col("slot"), F.col("_mix_within")], "position").drop("_mix_within")
+    place = F.expr(f"{quoted(block)} div {quoted(share)}") * F.lit(total) + F.col(at)
+    kept = slotted.select(*own, quoted(block), place.alias(slot), F.expr(f"{quoted(within)} % {block_rows}").alias(within))
+    return with_position(kept, [F.col(quoted(slot)), F.col(within)], position).drop(within)
 
 
 def in_mix_order(docs: DataFrame, shares: Mapping[str | None, int], **options) -> DataFrame:
     """The rows of ``docs``, columns unchanged, sorted in the order of the mix."""
-    return mixed(docs, shares, **options).orderBy("position").select(*[quoted(c) for c in docs.columns])
+    names = tuple(fresh(docs, f"_mix_{n}") for n in ("block", "slot", "position"))
+    return mixed(docs, shares, names=names, **options).orderBy(names[2]).select(*[quoted(c) for c in docs.columns])

@@ -5,22 +5,22 @@ stands for itself, and the remainders are packed. Remainders are dealt at random
 into groups of about ``group_pieces``, and each group is packed alone: largest piece first, each into the
 first bin with room, found in a tournament tree whose nodes hold the largest room below. Groups are small
 and bounded, so no task depends on the size of the table, and with thousands of pieces of all sizes
-hardly any room is lost.
+hardly any room is lost. Where the documents have an order to keep, groups are dealt within runs of it.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from stepmill.llm.common import fresh, text_of
+from stepmill.llm.common import fresh, text_of, with_position
 from stepmill.session import materialise, quoted
 
 #: Chunks, and words, whose ids a task remembers at most.
@@ -153,28 +153,42 @@ def first_fit_decreasing(sizes: np.ndarray, room: int) -> tuple[np.ndarray, np.n
     return bins, offsets
 
 
-def packed(cut: DataFrame, *, length: int = 2048, group_pieces: int = 8192) -> DataFrame:
+def packed(cut: DataFrame, *, length: int = 2048, group_pieces: int = 8192, order: Sequence[str] = (), window: int = 4) -> DataFrame:
     """Pieces (with ``length``) get ``sequence_id`` and ``offset``, gapless from 0 within each sequence.
 
-    Sequence ids are unique, not gapless. Pieces of ``length`` ids are sequences of their own. Empty table: no rows.
+    Pieces are dealt to random groups, each packed for itself. With ``order`` (columns; ties in any order) only the
+    ``window`` groups of a run of pieces are dealt at random, and the sequences of a run come before those of
+    later ones: a prefix of sequences holds a prefix of the pieces, to one run. Sequence ids are unique, not
+    gapless. Pieces of ``length`` ids are sequences of their own. Empty table: no rows. Existing columns
+    of the two names are replaced, all others stay.
     """
-    others = [c for c in cut.columns if c.lower() not in ("sequence_id", "offset", "_row", "_group")]
-    held = materialise(cut.select(*[quoted(c) for c in others]).withColumn("_row", F.monotonically_increasing_id()), "pieces")
-    parts = held.filter(F.col("length") < length)
-    groups = max(1, -(-parts.count() // group_pieces))
-    schema = cut.select(*[quoted(c) for c in others]).schema.add("sequence_id", "long").add("offset", "long")
-
-    def fit(group: tuple, table: pa.Table) -> pa.Table:
-        table = table.sort_by("_row")  # the same packing in every run
+    others = [c for c in cut.columns if c.lower() not in ("sequence_id", "offset")]
+    kept = cut.select(*[quoted(c) for c in others])
+    row, group = fresh(kept, "_row"), fresh(kept, "_group")
+    schema = StructType([*kept.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())])
+    if order:
+        held = with_position(kept, [F.col(quoted(c)) for c in order], row)
+        number, stride = F.expr(f"`{row}` div {window * group_pieces}") * window + F.pmod(F.xxhash64(row), F.lit(window)), window
+        parts = held
+    else:
+        held = materialise(kept.withColumn(row, F.monotonically_increasing_id()), "pieces")
+        parts = held.filter(F.col("length") < length)
+        groups = max(1, -(-parts.count() // group_pieces))
+        number, stride = F.pmod(F.xxhash64(row), F.lit(groups)), groups
+
+    def fit(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.sort_by(row)  # the same packing in every run
         bins, offsets = first_fit_decreasing(table.column("length").to_numpy(), length)
-        number = bins * groups + group[0].as_py()
-        table = table.select(others)
-        return table.append_column("sequence_id", pa.array(number * 2)).append_column("offset", pa.array(offsets))
-
-    dealt = parts.withColumn("_group", F.pmod(F.xxhash64("_row"), F.lit(groups)))
-    small = dealt.groupBy("_group").applyInArrow(fit, schema)
+        of = key[0].as_py()
+        # A run's groups have no more bins than it has pieces.
+        ids = of // window * (window * window * group_pieces) + bins * window + of % window if order else (bins * stride + of) * 2
+        return table.select(others).append_column("sequence_id", pa.array(ids)).append_column("offset", pa.array(offsets))
+
+    small = parts.withColumn(group, number).groupBy(group).applyInArrow(fit, schema)
+    if order:
+        return small
     whole = held.filter(F.col("length") >= length).select(
-        *[quoted(c) for c in others], (F.col("_row") * 2 + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
+        *[quoted(c) for c in others], (F.col(row) * 2 + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
     return small.unionByName(whole)
 

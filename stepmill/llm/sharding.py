@@ -163,21 +163,21 @@ def sharded(docs: DataFrame, shards: int, *, key: str = "doc_id", text: str = "t
         raise ValueError("at least one shard")
     added = ["size", "shard", "slot"]
     docs = docs.select(*[quoted(c) for c in docs.columns if c.lower() not in added])
-    group, row = fresh(docs, "_group"), fresh(docs, "_row")
+    group, row, of, all_, at, end, first = (fresh(docs, n) for n in ("_group", "_row", "_of", "_all", "_at", "_end", "_first"))
     bytes_ = F.octet_length(text_of(text)).cast("long") + overhead
     marked = docs.withColumns({group: _group(text), "size": bytes_})
     if not keep_text:
         marked, docs = marked.drop(text), docs.drop(text)
-    groups = marked.groupBy(group).agg(F.sum("size").alias("_all"))
-    ordered = materialise(with_position(groups, [F.col(group)], "_at", {"_end": "_all"}).select(F.col(group).alias("_of"), "_all", "_end"), "groups")
-    cuts = balanced_cuts(ordered, "_all", "_end", shards)
-    shard = F.size(F.filter(F.array(*[F.lit(c).cast("long") for c in cuts]), lambda c: c < F.col("_end"))) if cuts else F.lit(0)
-    placed = marked.join(ordered.select("_of", shard.cast("int").alias("shard")), F.col(group) == F.col("_of")).drop("_of")
+    groups = marked.groupBy(group).agg(F.sum("size").alias(all_))
+    ordered = materialise(with_position(groups, [F.col(group)], at, {end: all_}).select(F.col(group).alias(of), all_, end), "groups")
+    cuts = balanced_cuts(ordered, all_, end, shards)
+    shard = F.size(F.filter(F.array(*[F.lit(c).cast("long") for c in cuts]), lambda c: c < F.col(end))) if cuts else F.lit(0)
+    placed = marked.join(ordered.select(of, shard.cast("int").alias("shard")), F.col(group) == F.col(of)).drop(of)
     numbered = with_position(placed, [F.col("shard"), F.col(group), F.col(quoted(key)).asc_nulls_last()], row)
-    starts = numbered.groupBy(F.col("shard").alias("_of")).agg(F.min(row).alias("_first"))  # a row a shard
+    starts = numbered.groupBy(F.col("shard").alias(of)).agg(F.min(row).alias(first))  # a row a shard
     return (
-        numbered.join(F.broadcast(starts), F.col("shard") == F.col("_of"))
-        .withColumn("slot", F.col(row) - F.col("_first"))
+        numbered.join(F.broadcast(starts), F.col("shard") == F.col(of))
+        .withColumn("slot", F.col(row) - F.col(first))
         .select(*[quoted(c) for c in docs.columns], *added)
     )
 

@@ -271,6 +271,10 @@ def repeated_runs(table: DataFrame, length: int = 200, crowd: int = 4096) -> Dat
     return whole.unionByName(sorted_out).unionByName(crowded)
 
 
+#: What ``remove_repeats`` adds.
+ADDED = ("n_bytes", "n_removed", "spans", "kept")
+
+
 def remove_repeats(docs: DataFrame, *, text: str = "text", length: int = 200, crowd: int = 4096, as_text: bool = False) -> DataFrame:
     """All rows with ``n_bytes``, ``n_removed``, ``spans`` (removed byte ranges, end exclusive) and ``kept`` (bytes).
 
@@ -279,7 +283,7 @@ def remove_repeats(docs: DataFrame, *, text: str = "text", length: int = 200, cr
     stay whole. With ``as_text`` the kept bytes come as text, without characters of which a part was cut.
     Existing columns of these names are replaced.
     """
-    added = ["n_bytes", "n_removed", "spans", "kept"]
+    added = list(ADDED)
     others = [c for c in docs.columns if c.lower() not in added]
     row, data, runs = fresh(docs, "row"), fresh(docs, "_bytes"), fresh(docs, "_runs")
     if row != "row":  # the inner steps use plain names

@@ -46,6 +46,27 @@ def test_components_of_chains(frame):
     assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100, 102: 100}
 
 
+CLASHING = "position block slot score accepted kept spans _of _start _row _group _end _all _at _first _rows _seq _part _total0 _mix_of _mix_row _mix_first _mix_share".split()
+
+
+def test_columns_of_inner_names_come_back(frame):
+    """Operators that hand on the table's own columns leave those of any name as they are, but for the ones they add."""
+    plain = frame("doc_id bigint, text string, source string", [(i, f"text {i % 7}", "ab"[i % 2]) for i in range(30)])
+    table = plain.select("*", *[(plain["doc_id"] * 100 + i).alias(n) for i, n in enumerate(CLASHING)])
+    for out, added in (
+        (mixing.mixed(table, {"a": 2}, block_rows=4), {"block", "slot", "position"}),
+        (mixing.in_mix_order(table, {"a": 2}), set()),
+        (sharding.sharded(table, 3), {"size", "shard", "slot"}),
+        (packing.packed(packing.pieces(table, queries.encoder)), {"sequence_id", "offset"}),
+        (packing.packed(packing.pieces(table, queries.encoder), order=["doc_id"]), {"sequence_id", "offset"}),
+        (simhash.keep_one(table), set()),
+        (common.with_position(table, [F.col("doc_id")], "at", {"sum": "doc_id"}), {"at", "sum"}),
+    ):
+        same = [n for n in CLASHING if n not in added]
+        rows = out.collect()
+        assert rows and all([r[n] for n in same] == [r["doc_id"] * 100 + CLASHING.index(n) for n in same] for r in rows)
+
+
 # Packing
 
 def test_encoder_gives_the_tokenizers_ids():

@@ -4,7 +4,7 @@ import random
 from collections import Counter
 
 import corpus_pipeline as pipeline
-from stepmill.llm import nearsets, queries
+from stepmill.llm import mixing, queries, simhash
 
 
 OTHER = " ".join(f"other{k * k} words" for k in range(90))
@@ -39,30 +39,71 @@ def test_near_duplicates_are_those_of_brute_force(spark, frame):
     rng = random.Random(5)
     texts = []
     for _ in range(30):
-        base = [f"w{rng.randrange(4000)}" for _ in range(rng.randrange(5, 300))]
+        base = [f"w{rng.randrange(4000)}" for _ in range(rng.randrange(1, 300))]
         for _ in range(6):
             copy = list(base)
-            for _ in range(rng.randrange(1 + len(copy) // 20)):
+            for _ in range(rng.randrange(2)):
                 copy[rng.randrange(len(copy))] = f"v{rng.randrange(4000)}"
             texts.append(" ".join(copy))
-    texts += ["a b", "A  b", "a c", "", " ", "a b c d e", "a b c d e f"]
-    edges = nearsets.brute_links(texts)
-    assert any(texts[a] != texts[b] for a, b in edges)
-    root = list(range(len(texts)))
-    for a, b in edges:
-        low, high = sorted((root[a], root[b]))
-        root = [low if r == high else r for r in root]
-    got = nearsets.keep_one(frame("doc_id bigint, text string", list(enumerate(texts)))).collect()
-    assert sorted(r["doc_id"] for r in got) == sorted(set(root))
+    texts += ["a b", "A  b", "a c", "", " ", None, "a b c d e", "a b c d e f", texts[3] + " tail"]
+    component = simhash.brute_components([simhash.fingerprint(t or "") for t in texts])
+    assert any(texts[i] != texts[c] for i, c in enumerate(component))
+    got = pipeline.near_duplicates(spark, frame("doc_id bigint, text string", list(enumerate(texts))), "").collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(set(component))
 
 
 def test_near_duplicates_of_the_given_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    rows = docs.select("doc_id", "text").collect()
-    ids, texts = [r["doc_id"] for r in rows], [r["text"] for r in rows]
-    pairs = [(ids[a], ids[b]) for a, b in nearsets.brute_links(texts) if texts[a] != texts[b]]
+    rows = docs.select("doc_id", "text").orderBy("doc_id").collect()
+    component = simhash.brute_components([simhash.fingerprint(r["text"] or "") for r in rows])
     kept = {r["doc_id"] for r in pipeline.near_duplicates(spark, docs, "").collect()}
-    assert pairs and not [p for p in pairs if set(p) <= kept]
+    assert kept == {rows[c]["doc_id"] for c in set(component)}
+
+
+CLASHING = "position block slot score accepted entropy lang_pred kept spans n_bytes n_removed fp row key at_file at_row start length sequence_id offset _of _start _row _group _end _all _rows _mix_of _fp _text".split()
+
+
+def test_stages_keep_columns_of_clashing_names(spark, frame):
+    plain = docs(frame)
+    extra = plain.select("*", *[(plain["doc_id"] * 100 + i).alias(n) for i, n in enumerate(CLASHING)])
+    for _, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, extra, "")
+        assert out.columns == extra.columns
+        rows = out.collect()
+        assert {r["doc_id"] for r in rows} == {r["doc_id"] for r in stage(spark, plain, "").collect()}
+        assert all([r[n] for n in CLASHING] == [r["doc_id"] * 100 + i for i in range(len(CLASHING))] for r in rows)
+    assert pipeline.pack(spark, extra, "").columns == pipeline.pack(spark, plain, "").columns
+
+
+def test_stages_on_odd_texts(spark, frame):
+    rows = [(1, None), (2, ""), (3, "  \n"), (None, "one word"), (4, "the " * 70_000), (4, "the " * 70_000), (5, "x" * 90_000), (6, "Å 中文 words, and 𝄞 here")]
+    odd = frame("doc_id bigint, text string, lang string, source string, n_chars bigint", [(i, t, None, None, None) for i, t in rows])
+    kept = {}
+    for name, stage in pipeline.STAGES:
+        kept[name] = sorted(str(r["doc_id"]) for r in stage(spark, odd, "").collect())
+    assert kept["language"] == ["4", "4", "5", "6", "None"]  # nothing was learned; texts without a letter go
+    assert kept["near_duplicates"] == ["1", "4", "5", "6", "None"]
+    assert kept["repeated_passages"] == ["1", "2", "3", "6", "None"]  # of the others every byte repeats
+    assert kept["mixing"] == sorted(str(i) for i, _ in rows) and set(kept["packing"]) == {str(i) for i, _ in rows}
+
+
+def test_sequences_follow_the_mix(spark, frame, tmp_path):
+    shares = {"a": 3, "b": 1}
+    docs = frame("doc_id bigint, text string, source string", [(i, f"word{i} " * (1 + i % 40), "a" if i % 4 else "b") for i in range(4000)])
+    mixing.in_mix_order(docs, shares, block_rows=4).write.parquet(str(tmp_path / "mixed"))
+    read = spark.read.parquet(str(tmp_path / "mixed"))
+    cut = pipeline.packing.pieces(pipeline._in_given_order(read, ["doc_id", "source", "text"]), queries.encoder).drop("text")
+    placed = pipeline.packing.packed(cut, group_pieces=50, order=["at_file", "at_row", "start"]).orderBy("sequence_id", "offset").collect()
+    assert len({r["sequence_id"] for r in placed}) > 50
+    for size in range(400, 4000, 200):
+        # The mix's share of ``b`` is a quarter, up to a run of 200 pieces.
+        part = [r["source"] == "b" for r in placed[:size]]
+        assert abs(sum(part) - size / 4) <= 200
+    held = Counter()
+    for r in placed:
+        assert r["offset"] == held[r["sequence_id"]]
+        held[r["sequence_id"]] += r["length"]
+    assert max(held.values()) <= 2048
 
 
 def test_stages_without_rows(spark, frame):
