@@ -11,10 +11,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepmill.llm import langid, mixing, nearsets, packing, queries, substrings
+from stepmill.llm import langid, mixing, packing, queries, simhash, substrings
+from stepmill.llm.common import apart
 from stepmill.session import materialise, quoted, release, scratch, ship
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -46,13 +48,17 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.train(docs, F.lit(True))
     if not model.languages:
         return docs.filter(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    return langid.identify(docs, model).filter("accepted").select(*[quoted(c) for c in docs.columns])
+    held, back = apart(docs, langid.ADDED)
+    return back(langid.identify(held, model).filter("accepted"))
 
 
 @_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest doc_id of each component of five-word Jaccard similarity 0.8 or more."""
-    return nearsets.keep_one(docs)
+    """Keep the document with the smallest doc_id of each group linked by SimHash: three-word shingles, at most 2 of 64 bits apart.
+
+    A null text counts as empty. Repeated rows are a group; of equal doc_ids any one row stays.
+    """
+    return simhash.keep_one(docs, words=3, budget=2)
 
 
 @_stage
@@ -61,13 +67,14 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     A character of which a cut took a part goes whole. ``n_chars`` follows the text.
     """
-    cut = substrings.remove_repeats(docs, as_text=True).filter("n_removed = 0 OR n_removed < n_bytes")
+    held, back = apart(docs, substrings.ADDED)
+    cut = substrings.remove_repeats(held, as_text=True).filter("n_removed = 0 OR n_removed < n_bytes")
     text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("kept"))
     names = {c.lower(): c for c in docs.columns}
     changed = {names["text"]: text}
     if "n_chars" in names:
         changed[names["n_chars"]] = F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.char_length(text)).cast(docs.schema[names["n_chars"]].dataType)
-    return cut.withColumns(changed).select(*[quoted(c) for c in docs.columns])
+    return back(cut.withColumns(changed))
 
 
 @_stage
@@ -76,10 +83,23 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.in_mix_order(docs, queries.SHARES, block_rows=queries.BLOCK_ROWS)
 
 
+def _in_given_order(docs: DataFrame, names: list[str]) -> DataFrame:
+    """``names`` of all rows with ``at_file`` and ``at_row``: their places in the files they were read from, else in the table."""
+    own = [quoted(c) for c in names]
+    try:
+        return docs.select(*own, F.col("_metadata.file_name").alias("at_file"), F.col("_metadata.row_index").alias("at_row"))
+    except AnalysisException:  # not read from files
+        return docs.select(*own, F.lit("").alias("at_file"), F.monotonically_increasing_id().alias("at_row"))
+
+
 @_stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of all documents, packed into sequences of at most 2048."""
-    return packing.packed(packing.pieces(docs.select("doc_id", "text"), queries.encoder).drop("text"))
+    """Token pieces of all documents, packed into sequences of at most 2048 that follow the order of the mix.
+
+    Sequences are numbered in that order, run by run of 32,768 pieces, so that every prefix of them holds the mix's shares.
+    """
+    cut = packing.pieces(_in_given_order(docs, ["doc_id", "text"]), queries.encoder).drop("text")
+    return packing.packed(cut, order=["at_file", "at_row", "start"]).drop("at_file", "at_row")
 
 
 STAGES = [
