@@ -1,9 +1,15 @@
 """Operators that need a row order: numbering, page slices, record caps.
 
-Nothing here sends the table through one task. Numbering sorts by range over the whole cluster,
-keeps the sorted rows as a table in the shared folder, and adds the number of rows of all earlier
-partitions to each row's position in its own partition. Range bounds are taken over the complete
-key, so a leading key that a third of the rows share is still cut into many partitions.
+Nothing here sends the table through one task, and ordinary keys need no table written aside. A sample of the
+keys gives bounds, which enter the plan as literals; they cut the rows into even buckets, whose counts, one
+aggregation over the key columns alone, say how many rows come before each bucket.
+
+* Numbering sorts inside the buckets and adds what comes before.
+* A cap or a slice looks for the key at its rank: the bucket that holds it is cut again until it is small,
+  and its sorted keys give the exact key. The rows are then found by comparing with that literal, a filter
+  that is pushed to the scan; nothing else is sorted or shuffled.
+
+Keys that aren't unique together, or of types without literals, go the long way: the sorted rows are landed.
 """
 
 from __future__ import annotations
@@ -12,50 +18,184 @@ from collections.abc import Sequence
 from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from stepmill.plans.pipeline import Step
 from stepmill.session import materialise, quoted, require_batch, require_columns, small_table
 
+#: Rows a bucket should hold, and rows among which a rank is looked up by sorting.
+BUCKET_ROWS = 1_000_000
+#: Bounds in one plan at most; a larger table is numbered by landing it sorted.
+MAX_BUCKETS = 2048
+#: Buckets of one round of a search for a rank, and keys sampled for each bound.
+ROUND_BUCKETS, SAMPLED = 64, 24
+
 _PART, _SEQ = "__part", "__seq"
 # monotonically_increasing_id keeps the position within the partition in its lower 33 bits.
 _POSITION_MASK = (1 << 33) - 1
 
+#: A key as text, column by column (None for null), from which the same literal can be made again.
+Bound = tuple[str | None, ...]
+
+
+class Key:
+    """The order columns of a table, nulls last, and comparisons of its rows with literal keys."""
+
+    def __init__(self, df: DataFrame, names: Sequence[str]):
+        self.columns = [F.col(quoted(n)) for n in names]
+        self.types = [df.schema[n].dataType for n in names]
+        plain = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BinaryType)
+        self.has_literals = all(isinstance(t, plain) for t in self.types)
+
+    def order(self) -> list[Column]:
+        return [c.asc_nulls_last() for c in self.columns]
+
+    def as_text(self) -> list[Column]:
+        out = []
+        for c, t in zip(self.columns, self.types, strict=True):
+            c = F.hex(c) if isinstance(t, T.BinaryType) else F.unix_micros(c) if isinstance(t, T.TimestampType) else c
+            out.append(c.cast("string"))
+        return out
+
+    def _literal(self, i: int, text: str | None) -> Column:
+        if text is not None and isinstance(self.types[i], T.BinaryType):
+            return F.unhex(F.lit(text))
+        if text is not None and isinstance(self.types[i], T.TimestampType):
+            return F.timestamp_micros(F.lit(int(text)))
+        return F.lit(text).cast(self.types[i])
+
+    def _sortable(self, columns: Sequence[Column]) -> Column:
+        return F.struct(*[part.alias(f"k{n}{i}") for i, c in enumerate(columns) for n, part in enumerate((c.isNull(), c))])
+
+    def sortable(self) -> Column:
+        """One value that sorts as the key does."""
+        return self._sortable(self.columns)
+
+    def up_to(self, bound: Bound) -> Column:
+        """True where the key is at most the bound; else false or null."""
+        literals = [self._literal(i, text) for i, text in enumerate(bound)]
+        if len(bound) == 1:
+            return F.lit(True) if bound[0] is None else self.columns[0] <= literals[0]
+        whole = self._sortable(self.columns) <= self._sortable(literals)
+        # The scan understands the first column alone.
+        return whole if bound[0] is None else (self.columns[0] <= literals[0]) & whole
+
+    def beyond(self, bound: Bound) -> Column:
+        return F.coalesce(~self.up_to(bound), F.lit(True))
+
+    def bucket(self, bounds: Sequence[Bound]) -> Column:
+        """How many bounds lie before the key: a tree of comparisons."""
+
+        def tree(low: int, high: int) -> Column:
+            if low == high:
+                return F.lit(low)
+            middle = (low + high) // 2
+            return F.when(self.up_to(bounds[middle]), tree(low, middle)).otherwise(tree(middle + 1, high))
+
+        return tree(0, len(bounds))
+
+
+def _bounds(rows: DataFrame, key: Key, count: int, buckets: int) -> list[Bound]:
+    """Keys that cut ``count`` rows into about even buckets, from a sample of a fixed number of keys."""
+    if buckets < 2 or not count:
+        return []
+    share = SAMPLED * buckets / count
+    picked = rows if share >= 1 else rows.sample(share, seed=7)
+    texts = F.struct(*[t.alias(f"t{i}") for i, t in enumerate(key.as_text())])
+    ranked = picked.agg(F.sort_array(F.collect_list(F.struct(key.sortable().alias("key"), texts.alias("text")))).alias("keys"))
+    at = F.transform(F.sequence(F.lit(1), F.lit(buckets - 1)), lambda i: F.get(F.col("keys"), F.floor(i * F.size("keys") / buckets).cast("int")))
+    found = ranked.select(F.transform(at, lambda k: k["text"]).alias("texts")).first()["texts"]
+    return list(dict.fromkeys(tuple(t) for t in found if t is not None))
+
+
+def _counts(rows: DataFrame, key: Key, bounds: Sequence[Bound]) -> list[int]:
+    """Rows of each bucket, by one aggregation."""
+    found = {r["at"]: r["count"] for r in rows.groupBy(key.bucket(bounds).alias("at")).count().collect()}
+    return [found.get(i, 0) for i in range(len(bounds) + 1)]
+
 
 def with_row_index(order_by: Sequence[str], name: str = "index") -> Step:
-    """Add a 0-based row number in the order of ``order_by``, which must be unique together."""
+    """Add a 0-based row number in the order of ``order_by``, which must be unique together.
+
+    The key columns are read three times (count, sample, bucket counts) and the rows once, when they are
+    used: materialise a costly input first.
+    """
 
     def step(df: DataFrame) -> DataFrame:
         _check_order(df, order_by, "with_row_index")
-        keys = [F.col(quoted(c)).asc_nulls_last() for c in order_by]
-        placed = materialise(
-            df.repartitionByRange(*keys)
-            .sortWithinPartitions(*keys)
-            .withColumns({
-                _PART: F.spark_partition_id(),
-                _SEQ: F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_MASK)),
-            }),
-            "row-index",
-        )
-        # One row per partition, at most spark.sql.shuffle.partitions of them.
-        counts = placed.groupBy(_PART).count().collect()
-        parts = sorted((r[_PART], r["count"]) for r in counts)
-        starts = list(accumulate((rows for _, rows in parts), initial=0))[:-1]
-        offsets = small_table(
-            df.sparkSession,
-            {_PART: [part for part, _ in parts], "__start": starts},
-            {_PART: pa.int32(), "__start": pa.int64()},
-        )
+        key, keys = Key(df, order_by), df.select(*[quoted(c) for c in dict.fromkeys(order_by)])
+        total = keys.count()
+        buckets = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_ROWS))
+        if not key.has_literals or buckets > MAX_BUCKETS:
+            return _landed_index(df, key, name)
+        bounds = _bounds(keys, key, total, buckets)
+        counts = _counts(keys, key, bounds)
+        if max(counts) > 4 * max(BUCKET_ROWS, total // buckets):  # one key fills a bucket
+            return _landed_index(df, key, name)
+        before = F.element_at(F.array(*[F.lit(n) for n in accumulate(counts[:-1], initial=0)]).cast("array<bigint>"), F.col(_PART) + 1)
+        place = F.row_number().over(Window.partitionBy(_PART).orderBy(*key.order()))
         return (
-            placed.join(F.broadcast(offsets), _PART)
-            .withColumn(name, F.col("__start") + F.col(_SEQ))
-            .select(*[quoted(c) for c in df.columns], quoted(name))
+            df.withColumn(_PART, key.bucket(bounds))
+            .withColumn(_SEQ, place)
+            .select(*[quoted(c) for c in df.columns], (before + F.col(_SEQ) - 1).alias(name))
         )
 
     return step
 
 
+def _landed_index(df: DataFrame, key: Key, name: str) -> DataFrame:
+    """Rows sorted by range over the cluster, landed in the shared folder, and shifted by the rows of earlier partitions."""
+    placed = materialise(
+        df.repartitionByRange(*key.order())
+        .sortWithinPartitions(*key.order())
+        .withColumns({
+            _PART: F.spark_partition_id(),
+            _SEQ: F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_MASK)),
+        }),
+        "row-index",
+    )
+    # One row per partition, at most spark.sql.shuffle.partitions of them.
+    counts = placed.groupBy(_PART).count().collect()
+    parts = sorted((r[_PART], r["count"]) for r in counts)
+    starts = list(accumulate((rows for _, rows in parts), initial=0))[:-1]
+    offsets = small_table(
+        df.sparkSession,
+        {_PART: [part for part, _ in parts], "__start": starts},
+        {_PART: pa.int32(), "__start": pa.int64()},
+    )
+    return (
+        placed.join(F.broadcast(offsets), _PART)
+        .withColumn(name, F.col("__start") + F.col(_SEQ))
+        .select(*[quoted(c) for c in df.columns], quoted(name))
+    )
+
+
+def key_at(df: DataFrame, key: Key, rank: int, total: int) -> tuple[Bound, int]:
+    """The key that ``rank`` (1 to ``total``) rows reach, and how many rows do: ``rank`` itself if keys are unique.
+
+    Each round cuts the bucket that holds the rank into smaller ones; only key columns are read.
+    """
+    keys, before, rows = df.select(*key.columns), 0, total
+    while rows > BUCKET_ROWS:
+        bounds = _bounds(keys, key, rows, min(ROUND_BUCKETS, 1 + rows // (BUCKET_ROWS // 2)))
+        counts = _counts(keys, key, bounds)
+        if max(counts) == rows:  # one key, as far as sampling can tell
+            break
+        ends = list(accumulate(counts))
+        at = next(i for i, end in enumerate(ends) if before + end >= rank)
+        if at:
+            keys = keys.filter(key.beyond(bounds[at - 1]))
+        if at < len(bounds):
+            keys = keys.filter(key.up_to(bounds[at]))
+        before, rows = before + ends[at] - counts[at], counts[at]
+    found = keys.orderBy(*key.order()).offset(rank - before - 1).limit(1).select(*[t.alias(f"t{i}") for i, t in enumerate(key.as_text())])
+    bound = tuple(found.first())
+    return bound, before + keys.filter(key.up_to(bound)).count()
+
+
 def _check_order(df: DataFrame, order_by: Sequence[str], step: str) -> None:
     require_batch(df, step)
     if not order_by:
@@ -86,16 +226,18 @@ def paged_slice(
     """Rows ``offset`` up to ``offset + pages * chunk_limit`` of the ordered table.
 
     Every page has ``chunk_limit`` rows, the last one too, so up to a page more than ``seed_limit``
-    rows can come back. Adds ``row_index`` and ``page``.
+    rows can come back. Adds ``row_index`` and ``page``. Only the slice itself is sorted.
     """
 
     def step(df: DataFrame) -> DataFrame:
         _check_order(df, order_by, "paged_slice")
         pages = -(-seed_limit // chunk_limit)
         end = offset + pages * chunk_limit
+        sliced, skipped = _between(df, order_by, max(0, offset), max(0, end))
         index = F.col("row_index")
         return (
-            with_row_index(order_by, "row_index")(df)
+            with_row_index(order_by, "row_index")(sliced)
+            .withColumn("row_index", index + skipped)
             .filter((index >= offset) & (index < end))
             .withColumn("page", F.floor((index - F.lit(offset)) / F.lit(chunk_limit)).cast("bigint"))
         )
@@ -103,8 +245,34 @@ def paged_slice(
     return step
 
 
+def _between(df: DataFrame, order_by: Sequence[str], start: int, end: int) -> tuple[DataFrame, int]:
+    """Rows that hold the ranks ``start`` up to ``end`` (0-based, exclusive), and how many rows come before them.
+
+    More rows come back where several share the key at an end.
+    """
+    key = Key(df, order_by)
+    total = df.select(*key.columns).count()
+    if start >= total or end <= start:
+        return df.filter(F.lit(False)), 0
+    if not key.has_literals:
+        return df, 0
+    skipped = 0
+    if start:
+        bound, reached = key_at(df, key, start, total)
+        if reached == start:
+            df, skipped = df.filter(key.beyond(bound)), start
+    if end < total:
+        bound, _ = key_at(df, key, end - skipped, total - skipped)
+        df = df.filter(key.up_to(bound))
+    return df, skipped
+
+
 def record_cap(max_records: int | None, order_by: Sequence[str]) -> Step:
-    """The first ``max_records`` rows in order; ``None`` keeps all, zero or less keeps none."""
+    """The first ``max_records`` rows in order; ``None`` keeps all, zero or less keeps none.
+
+    The cap becomes a comparison with the key at its rank, looked up when the step is applied. Where several
+    rows share that key, some of them are taken.
+    """
 
     def step(df: DataFrame) -> DataFrame:
         if max_records is None:
@@ -112,6 +280,16 @@ def record_cap(max_records: int | None, order_by: Sequence[str]) -> Step:
         if max_records <= 0:
             return df.filter(F.lit(False))
         _check_order(df, order_by, "record_cap")
-        return with_row_index(order_by, "__row")(df).filter(F.col("__row") < max_records).drop("__row")
+        key = Key(df, order_by)
+        if not key.has_literals:
+            return with_row_index(order_by, "__row")(df).filter(F.col("__row") < max_records).drop("__row")
+        total = df.select(*key.columns).count()
+        if total <= max_records:
+            return df
+        bound, reached = key_at(df, key, max_records, total)
+        kept = df.filter(key.up_to(bound))
+        if reached == max_records:
+            return kept
+        return with_row_index(order_by, "__row")(kept).filter(F.col("__row") < max_records).drop("__row")
 
     return step

@@ -12,7 +12,7 @@ from stepmill.functions.text import as_text
 from stepmill.operators.nulls import is_missing
 from stepmill.operators.order import with_row_index
 from stepmill.plans.pipeline import Step
-from stepmill.session import MAX_BROADCAST_ROWS, quoted, require_batch, require_columns
+from stepmill.session import MAX_BROADCAST_ROWS, materialise, quoted, require_batch, require_columns
 
 #: Longer texts are compared by digest, so that distinct counts do not shuffle whole documents.
 _DIGEST_ABOVE_BYTES = 64
@@ -187,16 +187,18 @@ def category_codes(
         require_columns(df, [column])
         value = F.col(quoted(column))
         missing = is_missing(value, df.schema[column].dataType)
-        dictionary = (
-            df.filter(~missing)
-            .groupBy(value.alias("__value"))
-            .agg(F.count(F.lit(1)).alias("__rows"))
-            .transform(with_row_index(["__value"], "__code"))
-        )
+        # Numbering and looking up read it several times, so it is landed: one row a value.
+        found = materialise(df.filter(~missing).groupBy(value.alias("__value")).agg(F.count(F.lit(1)).alias("__rows")), "dictionary")
+        dictionary = found.transform(with_row_index(["__value"], "__code"))
         kept = [F.col(quoted(c)) for c in df.columns if c != output_column]
-        wide = isinstance(df.schema[column].dataType, (T.StringType, T.BinaryType))
-        key = F.when(~missing, _short_key(value) if wide else value)  # a null key finds nothing
-        entry = _short_key(F.col("__value")) if wide else F.col("__value")
+
+        def short(c: Column) -> Column:
+            if isinstance(df.schema[column].dataType, _FIXED_WIDTH + (T.DecimalType,)):
+                return c
+            return _short_key(c if isinstance(df.schema[column].dataType, (T.StringType, T.BinaryType)) else as_text(c, df.schema[column].dataType))
+
+        key = F.when(~missing, short(value))  # a null key finds nothing
+        entry = short(F.col("__value"))
         same = key == F.col("__key")
 
         def lookup(rows: DataFrame, codes: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
+import datetime as dt
+import math
 import random
-
+from decimal import Decimal
 from pathlib import Path
 
 import pytest
@@ -30,7 +32,72 @@ def test_row_index_against_sorted_rows(spark):
 def test_row_index_never_uses_one_task(spark):
     out = order.with_row_index(["id"], "n")(spark.range(1000))
     assert "SinglePartition" not in plan(out)
-    assert "Window" not in plan(out)
+
+
+def many_kinds(spark, seed):
+    """Keys of every kind with a literal: nulls, NaN, ties in the leading one, odd texts, old and new moments."""
+    rnd = random.Random(seed)
+    texts = ["", " ", "a'b", "é", "z\\n", "\U0001d11e", None, "a"]
+    rows = [
+        (
+            rnd.choice(texts),
+            rnd.choice([None, math.nan, -0.0, 0.0, math.inf, 1e300, 0.1]),
+            rnd.choice([None, True, False]),
+            rnd.choice([None, Decimal("1.10"), Decimal("-99999999.01")]),
+            rnd.choice([None, dt.date(1, 1, 1), dt.date(2024, 10, 27)]),
+            rnd.choice([None, dt.datetime(1900, 1, 1), dt.datetime(2024, 10, 27, 2, 30, 0, 123456)]),
+            rnd.choice([None, b"", b"\x00\xff", b"a"]),
+            i,
+        )
+        for i in range(600)
+    ]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "s string, d double, b boolean, n decimal(10,2), day date, at timestamp_ntz, raw binary, i int")
+    return df.withColumn("instant", F.col("at").cast("timestamp")).repartition(4)
+
+
+@pytest.mark.parametrize("names", [["s", "i"], ["d", "i"], ["b", "n", "i"], ["day", "at", "i"], ["instant", "raw", "i"], ["i"]])
+def test_ranks_of_all_kinds_of_keys(spark, monkeypatch, names):
+    monkeypatch.setattr(order, "BUCKET_ROWS", 20)
+    monkeypatch.setattr(order, "ROUND_BUCKETS", 3)
+    df = many_kinds(spark, 5)
+    want = [r["i"] for r in df.orderBy(*[F.col(n).asc_nulls_last() for n in names]).collect()]
+    numbered = order.with_row_index(names, "at_row")(df)
+    assert {r["i"]: r["at_row"] for r in numbered.collect()} == {i: n for n, i in enumerate(want)}
+    for cap in (1, 19, 300, 599, 600, 601):
+        assert {r["i"] for r in order.record_cap(cap, names)(df).collect()} == set(want[:cap])
+    got = order.paged_slice(names, offset=250, seed_limit=70, chunk_limit=30)(df).collect()
+    assert {(r["i"], r["row_index"], r["page"]) for r in got} == {(i, n, (n - 250) // 30) for n, i in enumerate(want) if 250 <= n < 340}
+
+
+def test_unique_keys_land_nothing(spark):
+    with scratch(spark) as tables:
+        df = spark.range(5000)
+        order.with_row_index(["id"])(df).count()
+        order.record_cap(70, ["id"])(df).count()
+        order.paged_slice(["id"], offset=100, seed_limit=1000)(df).count()
+    assert tables == []
+
+
+def test_a_cap_is_a_pushed_filter(spark, tmp_path):
+    spark.range(5000).withColumn("x", F.col("id") * 2).write.parquet(str(tmp_path / "t"))
+    text = plan(order.record_cap(70, ["id"])(spark.read.parquet(str(tmp_path / "t"))))
+    assert "LessThanOrEqual(id,69)" in text and "Exchange" not in text and "Sort" not in text
+
+
+def test_equal_keys_are_still_numbered_and_cut(spark, monkeypatch):
+    monkeypatch.setattr(order, "BUCKET_ROWS", 10)
+    df = spark.range(1000).withColumn("k", F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 50 + 2)).repartition(4)
+    got = order.with_row_index(["k"], "n")(df).orderBy("n").collect()
+    assert [r["n"] for r in got] == list(range(1000)) and [r["k"] for r in got] == sorted(r["k"] for r in got)
+    assert order.record_cap(100, ["k"])(df).count() == 100
+    assert order.paged_slice(["k"], offset=100, seed_limit=200, chunk_limit=50)(df).count() == 200
+
+
+def test_keys_without_literals(spark):
+    df = spark.range(100).select(F.array(99 - F.col("id")).alias("k"), "id")
+    assert sorted(values(order.record_cap(3, ["k"])(df), "id")) == [97, 98, 99]
+    assert sorted(values(order.paged_slice(["k"], offset=2, seed_limit=2, chunk_limit=2)(df), "id")) == [96, 97]
 
 
 def test_row_index_of_nothing(spark):
@@ -76,7 +143,8 @@ def test_caps_gather_nothing_in_one_task(spark):
 
 def test_scratch_is_empty_after_release(spark, tmp_path):
     with scratch(spark) as tables:
-        order.with_row_index(["id"])(spark.range(100)).write.parquet(str(tmp_path / "out"))
+        equal = spark.range(100).withColumn("k", F.array("id"))
+        order.with_row_index(["k"])(equal).select("index").write.parquet(str(tmp_path / "out"))
     places = [Path(t.removeprefix("file:")) for t in tables]
     assert places and all(p.exists() for p in places)
     release(spark, tables)
@@ -94,3 +162,13 @@ def test_union_merges_types_and_columns(frame):
     )
     with pytest.raises(ValueError):
         union_pages([])
+
+
+def test_union_of_many_pages(spark):
+    frames = [spark.range(i, i + 1, numPartitions=1).selectExpr("id", f"{'id' if i % 2 else repr('x')} AS c{i % 3}") for i in range(200)]
+    out = union_pages(frames)
+    assert out.dtypes == [("id", "bigint"), ("c0", "string"), ("c1", "string"), ("c2", "string")]
+    rows = {r["id"]: r for r in out.collect()}
+    assert len(rows) == 200 and rows[4]["c1"] == "x" and rows[7]["c1"] == "7" and rows[7]["c0"] is None
+    depth = out._jdf.queryExecution().analyzed().toString().count("Union")
+    assert depth < 200
