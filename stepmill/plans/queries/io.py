@@ -70,6 +70,53 @@ def csv_given_schema(spark, sf_dir):
     )
 
 
+def _two_headers(spark, sf_dir):
+    """Customers as two sets of files, with other columns in another order."""
+    customer, path = table(spark, sf_dir, "customer"), scratch_path(spark, "headers")
+    append_csv(customer.filter("c_custkey % 3 <> 0"), f"{path}/a", ["c_custkey", "c_name", "c_acctbal"])
+    append_csv(customer.filter("c_custkey % 3 = 0"), f"{path}/b", ["c_acctbal", "c_mktsegment", "c_custkey"])
+    return f"{path}/*"
+
+
+@query(
+    "csv_header_order",
+    """
+    SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN c_name END AS c_name, c_acctbal,
+           CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END AS c_mktsegment
+    FROM customer
+    """,
+)
+def csv_header_order(spark, sf_dir):
+    """Columns go by the names in each file's header."""
+    return extract_csv(spark, _two_headers(spark, sf_dir))
+
+
+@query(
+    "csv_schema_by_name",
+    """
+    SELECT CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END AS c_mktsegment, c_custkey,
+           CAST(c_acctbal AS DECIMAL(12,2)) AS c_acctbal
+    FROM customer
+    """,
+)
+def csv_schema_by_name(spark, sf_dir):
+    """A given schema is looked up by name, whatever the order of the files' columns."""
+    return extract_csv(spark, _two_headers(spark, sf_dir), schema="c_mktsegment STRING, c_custkey BIGINT, c_acctbal DECIMAL(12,2)")
+
+
+@query(
+    "sink_batches",
+    "SELECT p_partkey, p_name, (SELECT count(*) FROM part WHERE p_size <= 25) AS noted FROM part",
+)
+def sink_batches(spark, sf_dir):
+    """Appends by batch number: one made twice adds its rows once."""
+    part, path = table(spark, sf_dir, "part"), scratch_path(spark, "append")
+    append_csv(part.filter("p_size <= 25"), path, ["p_partkey", "p_name"], batch=1)
+    append_csv(part.filter("p_size > 25"), path, ["p_partkey", "p_name"], batch=2)
+    noted = append_csv(part.filter("p_size <= 25"), path, ["p_partkey", "p_name"], batch=1)
+    return extract_csv(spark, path).withColumn("noted", F.lit(noted).cast("bigint"))
+
+
 def _exported(spark, sf_dir, rows_per_page):
     """The orders table as a folder of page files; the status column is a number on some pages."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: Broadcast a side only up to this many rows; above it another strategy is used.
 MAX_BROADCAST_ROWS = 1_000_000
 
-#: Settings the library likes. None is required for right results.
+#: Settings the library likes. None is required: without them results are the same.
 RECOMMENDED = {
     "spark.sql.timestampType": "TIMESTAMP_NTZ",
     "spark.sql.adaptive.enabled": "true",
@@ -40,6 +40,8 @@ def local_session(app: str = "stepmill", cores: int | str = "*") -> SparkSession
 
 _shipped: set[str] = set()
 _notes: list[list[str]] = []
+# On a local master without the setting: one folder for each application.
+_local_folders: dict[str, str] = {}
 
 
 def ship(spark: SparkSession) -> None:
@@ -67,9 +69,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the whole cluster")
-    folder = tempfile.mkdtemp(prefix="stepmill-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _local_folders:
+        _local_folders[app] = tempfile.mkdtemp(prefix="stepmill-")
+    return _local_folders[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -110,6 +113,53 @@ def scratch(spark: SparkSession) -> Iterator[list[str]]:
         _notes.remove(tables)
 
 
+class Files:
+    """Small files and folder entries below a root, on any Hadoop file system."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._root = root.rstrip("/")
+        self._system = self._path(self._root).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+    def _at(self, name: str):
+        return self._path(f"{self._root}/{name}" if name else self._root)
+
+    def read(self, name: str) -> str | None:
+        """The text of a file; None if there is none."""
+        if not self._system.exists(self._at(name)):
+            return None
+        stream = self._system.open(self._at(name))
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def create(self, name: str, text: str) -> None:
+        """A new file; one that exists stays as it is. It appears whole."""
+        if self._system.exists(self._at(name)):
+            return
+        made = self._at(f"{name}-{uuid.uuid4().hex}")
+        stream = self._system.create(made, False)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        if not self._system.rename(made, self._at(name)):
+            self._system.delete(made, False)
+
+    def names(self, folder: str, prefix: str) -> list[str]:
+        """Entries of a folder whose name starts so."""
+        if not self._system.exists(self._at(folder)):
+            return []
+        found = [entry.getPath().getName() for entry in self._system.listStatus(self._at(folder))]
+        return sorted(name for name in found if name.startswith(prefix))
+
+    def move(self, name: str, to: str) -> None:
+        if not self._system.rename(self._at(name), self._at(to)):
+            raise OSError(f"cannot move {self._root}/{name} to {to}")
+
+    def delete(self, name: str) -> None:
+        self._system.delete(self._at(name), True)
+
+
 def release(spark: SparkSession, tables: list[str]) -> None:
     """Remove landed tables. DataFrames that still read them can't be run any more."""
     while tables:

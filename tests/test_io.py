@@ -19,7 +19,7 @@ from stepmill import (
     transform_data,
 )
 from stepmill.sources import paged
-from stepmill.sources.csv import unique_header
+from stepmill.sources.csv import file_parts, unique_header
 from stepmill.streaming.run import run_batches, write_parquet_stream
 from tests.conftest import values
 
@@ -65,6 +65,37 @@ def test_append_selects_columns_and_keeps_cells(spark, frame, tmp_path):
         append_csv(df, path, ["zz"])
 
 
+def test_append_keeps_its_column_list(spark, frame, tmp_path):
+    path = str(tmp_path / "records.csv")
+    df = frame(MODEL, [("Book", "Writer")])
+    append_csv(df, path, ["title", "author"])
+    with pytest.raises(ValueError, match="cannot append"):
+        append_csv(df, path, ["author", "title"])
+    assert append_csv(df, path, ["title", "author"]) == 1
+    assert values(extract_csv(spark, path)) == [("Book", "Writer")] * 2
+
+
+def test_append_by_batch_number_is_made_once(spark, frame, tmp_path):
+    path = str(tmp_path / "records.csv")
+    first, second = frame(MODEL, [("One", "A"), ("Two", "B")]), frame(MODEL, [("Three", "C")])
+    assert append_csv(first, path, batch=1) == 2
+    assert append_csv(first, path, batch=1) == 2 and append_csv(second, path, batch=1) == 2  # done already
+    assert append_csv(second, path, batch=2) == 1
+    assert sorted(values(extract_csv(spark, path))) == [("One", "A"), ("Three", "C"), ("Two", "B")]
+    with pytest.raises(ValueError, match="cannot append"):
+        append_csv(first.select("author", "title"), path, batch=1)
+
+
+def test_a_lost_append_is_taken_away_first(spark, frame, tmp_path):
+    path = str(tmp_path / "records.csv")
+    df = frame(MODEL, [("One", "A")])
+    append_csv(df, path, batch=3)
+    os.remove(os.path.join(path, "_appended", "batch-3"))  # as after a crash before the note
+    open(os.path.join(path, "batch-3-part-99.csv"), "w").write("title,author\nlost,lost\n")
+    assert append_csv(df, path, batch=3) == 1
+    assert values(extract_csv(spark, path)) == [("One", "A")]
+
+
 def test_dated_path():
     assert dated_path("/out/", "export", dt.date(2024, 3, 9)) == "/out/export_20240309.csv"
     assert dated_path("/out", output_path="/x.csv") == "/x.csv"
@@ -125,6 +156,50 @@ def test_short_and_long_rows(spark, tmp_path):
         extract_csv(spark, csv_file(tmp_path, "a,b\n1,2\n2,3,4\n"))
 
 
+def folder_of(tmp_path, files):
+    folder = tmp_path / "a folder [1]"
+    folder.mkdir()
+    for name, text in files.items():
+        (folder / name).write_text(text, encoding="utf-8")
+    return str(folder).replace("[", "\\[").replace("]", "\\]")
+
+
+def test_columns_go_by_each_files_header(spark, tmp_path):
+    files = {"one 1.csv": "a,b\n1,2\n", "two{2}.csv": "b,a\n20,10\n", "three.csv": 'b,c\n5,"x\ny"\n', "empty.csv": "", "blank.csv": "\n\n", "bom.csv": "\ufeffa,b\n7,8\n"}
+    path = folder_of(tmp_path, files)
+    out = extract_csv(spark, path)
+    assert dict(out.dtypes) == {"a": "bigint", "b": "bigint", "c": "string"}
+    assert sorted(values(out.select("a", "b", "c")), key=str) == [(1, 2, None), (10, 20, None), (7, 8, None), (None, 5, "x\ny")]
+    typed = extract_csv(spark, path, schema="c STRING, a INT")
+    assert sorted(values(typed), key=str) == [("x\ny", None), (None, 1), (None, 10), (None, 7)]
+    with pytest.raises(ValueError, match="zz"):
+        extract_csv(spark, path, schema="a INT, zz INT")
+
+
+def test_line_breaks_are_looked_up_file_by_file(spark, tmp_path):
+    path = folder_of(tmp_path, {"plain.csv": "a,b\n1,x\n", "other.csv": "a,b\n2,y\n", "broken.csv": 'a,b\n3,"y\nz"\n'})
+    parts = file_parts(spark, path)
+    assert sorted((p.multi_line, len(p.paths)) for p in parts) == [(False, 2), (True, 1)]
+    assert sorted(values(extract_csv(spark, path))) == [(1, "x"), (2, "y"), (3, "y\nz")]
+
+
+@pytest.mark.parametrize("header, row", [("a,b", "3,4,5"), ("a,b", "1,2,,5"), ("a,b", "1,2,"), ("a,b", '"x,y",2,3'), ("a,b", '"q ""w"", e",2,'), ("a", "1,2")])
+def test_too_many_cells_are_an_error_in_both_modes(spark, tmp_path, header, row):
+    path = csv_file(tmp_path, f'{header}\n7\n"x,y"\n{row}\n')
+    with pytest.raises(ValueError, match="1 rows .* more cells"):
+        extract_csv(spark, path)
+    schema = ", ".join(f"{c} STRING" for c in header.split(","))
+    for use in (lambda df: df.collect(), lambda df: df.count(), lambda df: df.select(df.columns[-1]).collect(), lambda df: df.filter("a = '7'").count()):
+        with pytest.raises(Exception, match="more cells"):
+            use(extract_csv(spark, path, schema=schema))
+
+
+def test_quoted_commas_are_not_cells(spark, tmp_path):
+    path = csv_file(tmp_path, 'a,b,c\n"x,y",2\n"p ""q"", r"\n , "n\n')
+    want = [("x,y", "2", None), ('p "q", r', None, None), (" ", ' "n', None)]
+    assert values(extract_csv(spark, path, schema="a STRING, b STRING, c STRING", multi_line=False)) == want
+
+
 def test_missing_file(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="nowhere.csv"):
         extract_csv(spark, str(tmp_path / "nowhere.csv"))
