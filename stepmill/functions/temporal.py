@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,10 +34,10 @@ def spark_pattern(strptime_format: str) -> str:
     A lone numeric directive takes one or two digits; touching numeric directives (``%Y%m%d``)
     need fixed widths, or the first would swallow the second.
     """
-    tokens = re.findall(r"%.|[^%]+|%$", strptime_format, flags=re.DOTALL)
-    codes = [t[1] if t[0] == "%" and len(t) == 2 and t != "%%" else None for t in tokens]
+    tokens = _tokens(strptime_format)
+    codes = [code for _, code in tokens]
     out = []
-    for i, (token, code) in enumerate(zip(tokens, codes)):
+    for i, (token, code) in enumerate(tokens):
         if code is None:
             literal = "%" if token == "%%" else token
             if literal == "%" and token == "%":
@@ -58,12 +59,63 @@ def _quote(literal: str) -> str:
     )
 
 
-def parse_timestamp(c: Column, strptime_format: str, ntz_session: bool) -> Column:
-    """Strict whole-string parse to ``timestamp_ntz``; text that does not fit is null.
+# What strptime takes for the directives that Spark's patterns can't parse.
+_OFFSET = "[+-][0-9]{2}:?[0-5][0-9](?::?[0-5][0-9])?|Z"
+_WEEKDAYS = "Monday Tuesday Wednesday Thursday Friday Saturday Sunday".split()
+SET_APART = {
+    "z": _OFFSET,
+    "Z": "[A-Za-z][A-Za-z0-9_+/-]*",
+    "a": "(?i:" + "|".join(d[:3] for d in _WEEKDAYS) + ")",
+    "A": "(?i:" + "|".join(_WEEKDAYS) + ")",
+}
+
+
+def _tokens(strptime_format: str) -> list[tuple[str, str | None]]:
+    """The format's directives and the texts between them, each with the directive's letter."""
+    tokens = re.findall(r"%.|[^%]+|%$", strptime_format, flags=re.DOTALL)
+    return [(t, t[1] if t[0] == "%" and len(t) == 2 and t != "%%" else None) for t in tokens]
+
+
+def _set_apart(strptime_format: str) -> tuple[set[str], str]:
+    """The directives that are read apart from the rest, and a pattern with one group for each token."""
+    tokens = _tokens(strptime_format)
+    found = {code for _, code in tokens if code in SET_APART}
+    if {"z", "Z"} <= found:
+        raise ValueError(f"{strptime_format!r} has two zones")
+
+    def group(token: str, code: str | None) -> str:
+        if code in SET_APART:
+            return f"({SET_APART[code]})"
+        if code is None:
+            return f"({re.escape('%' if token == '%%' else token)})"
+        return "([0-9]+)" if code in _NUMERIC else "(\\p{L}+)"
+
+    return found, "^" + "".join(group(*t) for t in tokens) + "$"
+
+
+def parse_timestamp(c: Column, strptime_format: str, ntz_session: bool, zones: Sequence[str] = ()) -> Column:
+    """Strict whole-string parse to ``timestamp_ntz``, or to ``timestamp`` if the format has a zone; text that does not fit is null.
 
+    Names of weekdays (``%a``, ``%A``) must be such names but needn't be those of the date. ``%z`` takes offsets and ``Z``,
+    ``%Z`` the names in ``zones``, by the letter.
     ``ntz_session`` tells whether ``spark.sql.timestampType`` is TIMESTAMP_NTZ. If not, the text is
     read as UTC, so that a wall-clock time in a daylight-saving gap of the session zone survives.
     """
+    apart, groups = _set_apart(strptime_format)
+    if apart:
+        plain = "".join(token for token, code in _tokens(strptime_format) if code not in apart)
+        wall = parse_timestamp(F.when(c.rlike(groups), F.regexp_replace(c, groups, "".join(f"${i + 1}" for i, (_, code) in enumerate(_tokens(strptime_format)) if code not in apart))), plain, ntz_session)
+        places = {code: i + 1 for i, (_, code) in enumerate(_tokens(strptime_format))}
+        for code in apart & {"z", "Z"}:
+            zone = F.regexp_extract(c, groups, places[code])
+            known = F.lit(True) if code == "z" else zone.isin(list(zones))
+            # 1970 in UTC is the zero of instants; the distance is exact, whatever the session's zone.
+            # Seconds of an offset don't count.
+            named = F.when(zone == "Z", "UTC").otherwise(F.regexp_replace(zone, "^([+-][0-9]{2}):?([0-9]{2}).*$", "$1:$2"))
+            utc = F.convert_timezone(named, F.lit("UTC"), wall)
+            seconds = (utc - F.lit("1970-01-01").cast("timestamp_ntz")).cast("interval second").cast("decimal(20,6)")
+            wall = F.when(known, F.timestamp_micros((seconds * 1_000_000).cast("bigint")))
+        return wall
     pattern = spark_pattern(strptime_format)
     directives = set(re.findall(r"%(.)", strptime_format.replace("%%", "")))
     text = c

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,17 +89,21 @@ def _renamed(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def cast_columns(type_mapping: dict[str, str]) -> Step:
-    """Strict casts by dtype name or Spark type name; a value that does not fit fails the job."""
+    """Strict casts by dtype name or Spark type name; a value that does not fit fails the job.
+
+    Spark has no unsigned types: they become the next wider type, and a value outside their range fails too.
+    """
 
     def step(df: DataFrame) -> DataFrame:
         require_columns(df, type_mapping)
         casts, tagged = {}, []
         for name, dtype in type_mapping.items():
-            c, target = F.col(quoted(name)), DTYPE_NAMES.get(dtype, dtype)
+            c, source, target = F.col(quoted(name)), df.schema[name].dataType, DTYPE_NAMES.get(dtype, dtype)
             if target == "string":
-                casts[name] = as_text(c, df.schema[name].dataType)
+                casts[name] = as_text(c, source)
             else:
-                casts[name] = strict_cast(_whole(c, name) if _nullable_integer(dtype, df.schema[name].dataType) else c, target, name)
+                whole = _whole(c, source, name) if _nullable_integer(dtype, source) else c
+                casts[name] = _in_range(strict_cast(whole, target, name), dtype, target, name)
             if dtype == "category":
                 tagged.append(name)
         out = df.withColumns(casts)
@@ -113,11 +118,20 @@ def _nullable_integer(dtype: str, source: T.DataType) -> bool:
     return re.fullmatch(r"U?Int\d+", dtype) is not None and isinstance(source, (T.DoubleType, T.FloatType, T.DecimalType))
 
 
-def _whole(c: Column, label: str) -> Column:
-    """The nullable integer types take only whole numbers; NaN is a null."""
-    value = F.when(~F.isnan(c.cast("double")), c)
+def _whole(c: Column, source: T.DataType, label: str) -> Column:
+    """The nullable integer types take only whole numbers; NaN is a null. The value keeps its own type."""
+    value = c if isinstance(source, T.DecimalType) else F.nanvl(c, F.lit(None).cast(source))
     message = F.concat(F.lit(f"column {label}: cannot safely cast to an integer: "), c.cast("string"))
-    return F.when(value != F.floor(value), F.raise_error(message).cast("double")).otherwise(value)
+    return F.when(value % 1 != 0, F.raise_error(message).cast(source)).otherwise(value)
+
+
+def _in_range(value: Column, dtype: str, target: str, label: str) -> Column:
+    bits = re.fullmatch(r"u?U?[iI]nt(\d+)", dtype) if dtype.lower().startswith("uint") else None
+    if not bits:
+        return value
+    message = F.concat(F.lit(f"column {label}: outside {dtype}: "), value.cast("string"))
+    most = F.lit(Decimal((1 << int(bits[1])) - 1)).cast(target)
+    return F.when((value < 0) | (value > most), F.raise_error(message).cast(target)).otherwise(value)
 
 
 def strict_cast(c: Column, spark_type: str, label: str) -> Column:

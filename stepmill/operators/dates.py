@@ -18,24 +18,27 @@ def parse_date_columns(format_mapping: dict[str, str], slice_length: int | None
     """Parse text columns by strptime format; what does not fit becomes null.
 
     By default only the first ten characters are read. A format with a time part then never fits:
-    pass ``slice_length=None`` for those.
+    pass ``slice_length=None`` for those. A format with an offset (``%z``) or the name of a zone (``%Z``) gives
+    instants, ``timestamp``, so rows of several zones are comparable; all others give ``timestamp_ntz``.
     """
 
     def step(df: DataFrame) -> DataFrame:
         require_columns(df, format_mapping)
         ntz = df.sparkSession.conf.get("spark.sql.timestampType") == "TIMESTAMP_NTZ"
+        named = any("%Z" in f.replace("%%", "") for f in format_mapping.values())
+        zones = sorted(df.sparkSession._jvm.java.time.ZoneId.getAvailableZoneIds()) if named else []
         parsed = {}
         for name, date_format in format_mapping.items():
             c, dtype = F.col(quoted(name)), df.schema[name].dataType
             if isinstance(dtype, T.StringType):
                 text = c if slice_length is None else F.substring(c, 1, slice_length)
-                parsed[name] = temporal.parse_timestamp(text, date_format, ntz)
+                parsed[name] = temporal.parse_timestamp(text, date_format, ntz, zones)
             elif slice_length is not None:
                 raise TypeError(f"column {name} is {dtype.simpleString()}; only text can be sliced")
             elif isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
                 parsed[name] = c.cast("timestamp_ntz")
             else:
-                parsed[name] = temporal.parse_timestamp(c.cast("string"), date_format, ntz)
+                parsed[name] = temporal.parse_timestamp(c.cast("string"), date_format, ntz, zones)
         return df.withColumns(parsed)
 
     return step

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stepmill.plans.fitted import DropRows, WholeTableStep
 from stepmill.plans.pipeline import Step
-from stepmill.session import quoted, require_batch, require_columns
+from stepmill.session import quoted, require_columns
 
 
 def is_missing(c: Column, dtype: T.DataType) -> Column:
@@ -94,18 +95,10 @@ def checked_columns(df: DataFrame, pct_threshold: float) -> list[str]:
     ]
 
 
-def dropna_by_threshold(pct_threshold: float = 0.05) -> Step:
+def dropna_by_threshold(pct_threshold: float = 0.05) -> WholeTableStep:
     """Drop rows with a missing value in any column that has few of them.
 
     Columns above the threshold are left alone. Reads the table once for the shares, once for the
-    rows; persist it first when it is costly to compute.
+    rows; persist it first when it is costly to compute. ``fit`` gives the decision alone, for later batches and streams.
     """
-
-    def step(df: DataFrame) -> DataFrame:
-        require_batch(df, "dropna_by_threshold")
-        if not df.columns:
-            return df
-        checked = checked_columns(df, pct_threshold)
-        return df.na.drop(how="any", subset=[quoted(c) for c in checked]) if checked else df
-
-    return step
+    return WholeTableStep("dropna_by_threshold", lambda df: DropRows(tuple(checked_columns(df, pct_threshold) if df.columns else ())))

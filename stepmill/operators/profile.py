@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from stepmill.functions.text import as_text
 from stepmill.operators.nulls import is_missing
 from stepmill.operators.order import with_row_index
+from stepmill.operators.sketch import column_profile, profile_counts
+from stepmill.plans.fitted import MarkColumns, WholeTableStep
 from stepmill.plans.pipeline import Step
 from stepmill.session import MAX_BROADCAST_ROWS, materialise, quoted, require_batch, require_columns
 
@@ -122,50 +124,51 @@ def _text_columns(df: DataFrame, ignore: Sequence[str]) -> list[str]:
 
 def cast_categorical(
     ignore_columns: Sequence[str] | None = None, pct_threshold: float = 0.05, exact: bool = True
-) -> Step:
+) -> WholeTableStep:
     """Mark text columns with few distinct values as categorical, in the column metadata.
 
-    The metadata holds ``categorical`` and, when it was counted exactly, ``categories``.
-    ``exact=False`` settles columns that are far from the threshold by an estimate, without a
-    shuffle of their values, and counts only the others exactly.
+    The metadata holds ``categorical`` and, when it was counted exactly, ``categories``. ``fit`` gives the
+    decision alone, for later batches and streams.
+
+    ``exact=False`` settles columns that are far from the threshold by a sketch, without a shuffle of their
+    values, and counts only the others exactly. All columns so settled, marked or not, carry ``estimated`` in
+    their metadata, and the decision names them.
     """
 
-    def step(df: DataFrame) -> DataFrame:
-        require_batch(df, "cast_categorical")
+    def decide(df: DataFrame) -> MarkColumns:
         candidates = _text_columns(df, ignore_columns or ())
-        marked: dict[str, dict] = {}
-        if candidates and not exact:
-            settled = _settled_by_estimate(df, candidates, pct_threshold)
-            marked = {name: {"categorical": True} for name, is_cat in settled.items() if is_cat}
-            candidates = [name for name in candidates if name not in settled]
+        settled = {} if exact or not candidates else settled_by_profile(column_profile(df, candidates), pct_threshold)
+        marked = {name: {"categorical": is_cat, "estimated": True} for name, is_cat in settled.items()}
+        candidates = [name for name in candidates if name not in settled]
         if candidates:
             for row in column_counts(df, candidates).collect():  # one row per column
                 if row.non_null and row.distinct_values / row.non_null <= pct_threshold:
                     marked[row.column_name] = {"categorical": True, "categories": row.distinct_values}
-        out = df
-        for name, metadata in marked.items():
-            out = out.withMetadata(name, {**df.schema[name].metadata, **metadata})
-        return out
+        return MarkColumns(marked, tuple(sorted(settled)))
 
-    return step
+    return WholeTableStep("cast_categorical", decide)
 
 
-def _settled_by_estimate(df: DataFrame, columns: list[str], pct_threshold: float) -> dict[str, bool]:
-    """Columns whose estimated ratio is more than a tenth away from the threshold."""
-    row = df.agg(
-        *[F.count(quoted(c)).alias(f"n{i}") for i, c in enumerate(columns)],
-        *[F.approx_count_distinct(quoted(c), 0.02).alias(f"d{i}") for i, c in enumerate(columns)],
-    ).first()
+def settled_by_profile(profile: DataFrame, pct_threshold: float) -> dict[str, bool]:
+    """Whether a column is categorical, for columns whose estimated ratio is over a tenth away from the threshold.
+
+    A tenth is six standard errors of the estimate.
+    """
     settled = {}
-    for i, name in enumerate(columns):
-        non_null, distinct = row[f"n{i}"], row[f"d{i}"]
-        if non_null == 0:
-            settled[name] = False
-        elif abs(distinct / non_null - pct_threshold) > 0.1 * pct_threshold:
-            settled[name] = distinct / non_null <= pct_threshold
+    for row in profile_counts(profile).collect():  # one row per column
+        ratio = row.distinct_estimate / row.non_null if row.non_null else None
+        if ratio is None:
+            settled[row.column_name] = False
+        elif abs(ratio - pct_threshold) > 0.1 * pct_threshold:
+            settled[row.column_name] = ratio <= pct_threshold
     return settled
 
 
+def estimated_columns(df: DataFrame) -> list[str]:
+    """Names of the columns that :func:`cast_categorical` settled by an estimate."""
+    return [f.name for f in df.schema.fields if f.metadata.get("estimated")]
+
+
 def categorical_columns(df: DataFrame) -> list[str]:
     """Names of the columns marked by :func:`cast_categorical`."""
     return [f.name for f in df.schema.fields if f.metadata.get("categorical")]

@@ -7,14 +7,15 @@ A model is a ``StructType``. A field that is not nullable must have a value; met
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stepmill.functions import text
 from stepmill.plans.pipeline import Step
-from stepmill.session import quoted, require_columns
+from stepmill.session import quoted, require_columns, scratch_path
 
 
 def text_columns(df: DataFrame, columns: Sequence[str] | None) -> list[str]:
@@ -138,7 +139,7 @@ def quarantine(
 ) -> Callable[[DataFrame], tuple[DataFrame, DataFrame]]:
     """Split into good records (typed) and rejected ones (as they came, plus ``reason``).
 
-    Each side works out its input when it is used; materialise a costly input first.
+    Each side works out its input when it is used; :func:`quarantine_to` works it out once for both.
     """
 
     def split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -148,3 +149,41 @@ def quarantine(
         return good, rejected.withColumnRenamed("__reason", "reason")
 
     return split
+
+
+class Quarantined(NamedTuple):
+    """Both sides of a judged table, read from where they were written, and their numbers of rows."""
+
+    good: DataFrame
+    rejected: DataFrame
+    good_rows: int
+    rejected_rows: int
+
+
+def quarantine_to(model: T.StructType, defaults: dict[str, object] | None = None) -> Callable[[DataFrame, str | None], Quarantined]:
+    """Judge every record once and write both sides in one job: good records typed, rejected ones as they came, plus ``reason``.
+
+    The folder is partitioned by ``accepted``, so reading one side reads its files alone. The rows are counted while
+    they are written. Without a path the folder is a new one in the shared folder.
+    """
+
+    def split(df: DataFrame, path: str | None = None) -> Quarantined:
+        path = path or scratch_path(df.sparkSession, "quarantine")
+        judged = _judged(df, model, defaults)
+        accepted = F.col("__reason").isNull()
+        came = F.struct(*[F.col(quoted(f.name)) for f in model.fields])
+        out = judged.select(
+            F.when(accepted, F.struct(*_typed(model))).alias("record"),
+            F.when(~accepted, came).alias("came"),
+            F.col("__reason").alias("reason"),
+            accepted.alias("accepted"),
+        )
+        seen = Observation()
+        counted = out.observe(seen, F.count_if(F.col("accepted")).alias("good"), F.count_if(~F.col("accepted")).alias("rejected"))
+        counted.write.partitionBy("accepted").parquet(path)
+        both = df.sparkSession.read.schema(out.schema).parquet(path)
+        good = both.filter("accepted").select(*[F.col("record")[f.name].alias(f.name) for f in model.fields])
+        rejected = both.filter("NOT accepted").select(*[F.col("came")[f.name].alias(f.name) for f in model.fields], "reason")
+        return Quarantined(good, rejected, seen.get["good"], seen.get["rejected"])
+
+    return split

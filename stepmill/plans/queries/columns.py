@@ -128,6 +128,20 @@ def cast_cols(spark, sf_dir):
     )
 
 
+@query(
+    "cast_whole",
+    """
+    SELECT o_orderkey, 9007199254740993 + o_orderkey AS exact, (o_orderkey % 256)::SMALLINT AS byte
+    FROM orders
+    """,
+)
+def cast_whole(spark, sf_dir):
+    """Whole decimals keep every digit as integers; unsigned bytes have their range."""
+    exact = F.col("o_orderkey").cast("decimal(20,0)") + F.lit(9007199254740993)
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", exact.cast("decimal(22,2)").alias("exact"), (F.col("o_orderkey") % 256).alias("byte"))
+    return rows.transform(columns.cast_columns({"exact": "Int64", "byte": "UInt8"}))
+
+
 @query(
     "upgrade_nan",
     """

@@ -76,6 +76,29 @@ def parse_timestamps(spark, sf_dir):
     )
 
 
+@query(
+    "parse_zoned",
+    """
+    WITH t AS (SELECT event_id, date_trunc('second', ts) AS ts, event_id % 4 AS kind FROM events)
+    SELECT event_id, CASE WHEN kind < 3 THEN epoch_us(ts - CASE kind WHEN 0 THEN INTERVAL 330 MINUTE WHEN 1 THEN INTERVAL (-480) MINUTE ELSE INTERVAL 0 MINUTE END) END AS micros,
+           CASE WHEN event_id % 5 <> 0 THEN strftime(ts, '%Y-%m-%d') END AS named_day
+    FROM t
+    """,
+)
+def parse_zoned(spark, sf_dir):
+    """Offsets of several kinds in one column give comparable instants; weekdays must be weekdays, right or wrong."""
+    kind = F.col("event_id") % 4
+    zone = F.when(kind == 0, "+05:30").when(kind == 1, "-0800").when(kind == 2, "Z").otherwise("")
+    weekday = F.when(F.col("event_id") % 5 == 0, "Xyz").when(F.col("event_id") % 5 == 1, "mon").otherwise(F.date_format("ts", "EEE"))
+    text = table(spark, sf_dir, "events").select(
+        "event_id",
+        F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss "), zone).alias("zoned"),
+        F.concat(weekday, F.lit(", "), F.date_format("ts", "dd.MM.yyyy")).alias("named_day"),
+    )
+    parsed = text.transform(dates.parse_date_columns({"zoned": "%Y-%m-%d %H:%M:%S %z", "named_day": "%a, %d.%m.%Y"}, slice_length=None))
+    return parsed.select("event_id", F.unix_micros("zoned").alias("micros"), F.date_format("named_day", "yyyy-MM-dd").alias("named_day"))
+
+
 @query(
     "hhmm_seconds",
     f"""

@@ -15,6 +15,7 @@ from stepmill import (
     strings,
     transform_data,
 )
+from stepmill.plans.fitted import fit_steps
 from stepmill.plans.queries.registry import query, table
 from stepmill.session import scratch_path
 from stepmill.sources.paged import export_pages
@@ -248,13 +249,17 @@ def stream_append_csv(spark, sf_dir):
     """,
 )
 def stream_batches(spark, sf_dir):
-    """A step that needs table statistics, applied to each micro-batch."""
+    """A step that needs table statistics: decided once on the table, applied to a micro-batch for each of several files."""
     path = scratch_path(spark, "stream")
     status = F.when(F.col("o_orderkey") % 40 != 0, F.col("o_orderstatus"))
-    rows = _orders_stream(spark, sf_dir).select("o_orderkey", status.alias("status"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", status.alias("status"))
+    # Where a file's nulls are all together, what its batch shows is not what the table shows.
+    rows.repartitionByRange(5, F.col("o_orderkey") % 40).write.parquet(f"{path}-files")
+    fitted = fit_steps([nulls.dropna_by_threshold(0.05)], rows)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}-files")
 
     def write(batch, number):
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    run_batches(rows, [nulls.dropna_by_threshold(0.05)], write, path + "-checkpoint").awaitTermination()
+    run_batches(stream, fitted, write, path + "-checkpoint").awaitTermination()
     return spark.read.parquet(path).select("o_orderkey", "status")

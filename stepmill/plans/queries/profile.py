@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from stepmill import profile
+from stepmill import profile, sketch
 from stepmill.plans.queries.registry import query, table
 
 _GAPS_SQL = """
@@ -141,3 +141,26 @@ def category_codes_large(spark, sf_dir):
         .transform(profile.category_codes("label", "code", max_broadcast_rows=0))
         .select("event_id", "code")
     )
+
+
+@query(
+    "profile_merged",
+    """
+    SELECT column_name, rows, non_null, TRUE AS as_the_whole, TRUE AS near FROM (
+        SELECT count(*) AS rows, count(o_orderkey) AS o_orderkey, count(o_custkey) AS o_custkey,
+               count(CASE WHEN o_orderkey % 7 <> 0 THEN o_orderstatus END) AS status, count(o_totalprice) AS o_totalprice
+        FROM orders) UNPIVOT (non_null FOR column_name IN (o_orderkey, o_custkey, status, o_totalprice))
+    """,
+)
+def profile_merged(spark, sf_dir):
+    """Profiles of three parts, merged: the profile of the whole, register by register, with estimates within six percent."""
+    status = F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderstatus")).alias("status")
+    whole = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", status, "o_totalprice")
+    parts = [whole.filter(F.col("o_orderkey") % 3 == i) for i in range(3)]
+    merged = sketch.merge_profiles([sketch.column_profile(p) for p in parts])
+    direct = sketch.column_profile(whole).select("column_name", F.col("registers").alias("direct"))
+    counts = profile.column_counts(whole).select("column_name", "distinct_values")
+    estimates = sketch.profile_counts(merged).select("column_name", "distinct_estimate")
+    joined = merged.join(direct, "column_name").join(counts, "column_name").join(estimates, "column_name")
+    near = F.abs(F.col("distinct_estimate") - F.col("distinct_values")) <= 0.06 * F.col("distinct_values")
+    return joined.select("column_name", "rows", "non_null", (F.col("registers") == F.col("direct")).alias("as_the_whole"), near.alias("near"))

@@ -111,6 +111,24 @@ def quarantine_rejected(spark, sf_dir):
     return _SPLIT(_judged(spark, sf_dir))[1]
 
 
+@query(
+    "quarantine_once",
+    f"""
+    WITH j AS (SELECT *, coalesce(source, '') <> '' AND try_cast(doc_id AS BIGINT) IS NOT NULL
+                         AND (words IS NULL OR try_cast(words AS INT) IS NOT NULL) AS accepted FROM ({_JUDGED_SQL}))
+    SELECT accepted, count(*) AS rows, count(*) AS noted, count(words) AS words, min(source) AS first_source FROM j GROUP BY accepted
+    """,
+)
+def quarantine_once(spark, sf_dir):
+    """Both sides written in one job, and counted while they are."""
+    split = records.quarantine_to(_MODEL, {"origin": "crawl"})(_judged(spark, sf_dir), None)
+
+    def summed(side, accepted, noted):
+        return side.agg(F.count("*").alias("rows"), F.lit(noted).cast("bigint").alias("noted"), F.count("words").alias("words"), F.min("source").alias("first_source")).withColumn("accepted", F.lit(accepted))
+
+    return summed(split.good, True, split.good_rows).unionByName(summed(split.rejected, False, split.rejected_rows))
+
+
 @query(
     "conform_strict",
     "SELECT source, doc_id, n_chars::INT AS words, 'crawl' AS origin FROM documents",

@@ -7,6 +7,7 @@ import uuid
 import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 import pyarrow as pa
@@ -180,9 +181,22 @@ def require_columns(df: DataFrame, names) -> None:
         raise ValueError(f"columns not found: {missing}; available: {df.columns}")
 
 
+_inside_stream: ContextVar[bool] = ContextVar("inside_stream", default=False)
+
+
+@contextmanager
+def inside_stream() -> Iterator[None]:
+    """Tables seen inside the block are parts of a stream."""
+    token = _inside_stream.set(True)
+    try:
+        yield
+    finally:
+        _inside_stream.reset(token)
+
+
 def require_batch(df: DataFrame, step: str) -> None:
     """Raise for steps that must look at the whole table before they can decide."""
-    if df.isStreaming:
+    if df.isStreaming or _inside_stream.get():
         raise ValueError(f"{step} needs statistics of the whole table and cannot run on a stream")
 
 

@@ -1,25 +1,27 @@
-"""Paged sources: an ordered remote row list that is pulled page by page, one partition per page.
+"""Paged sources: an ordered remote row list that is pulled page by page, one partition per run of pages.
 
 Pages are fetched on the executors and landed once as text cells in the shared folder, so that the
-type vote does not fetch them again.
+type vote does not fetch them again. A task streams its run: one page is in memory at a time.
 """
 
 from __future__ import annotations
 
 import csv
 import io
+import json
 import re
 import time
 import uuid
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 from urllib.parse import urlencode
 from urllib.request import Request, urlopen
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -30,12 +32,16 @@ from stepmill.sources.typing import null_tokens, typed, vote
 #: Fetches ``records[offset : offset + limit]`` as CSV text with a header.
 PageFetcher = Callable[[int, int], str]
 
-_ROWS_SCHEMA = "page int, row_pos int, cells map<string,string>"
+# Cells by place; ``shape`` tells whose header names them. A page's header is a row of its own, at position -1.
+_ROWS_SCHEMA = "page int, row_pos int, shape bigint, cells array<string>"
 _ARROW_ROWS = pa.schema([
     ("page", pa.int32()),
     ("row_pos", pa.int32()),
-    ("cells", pa.map_(pa.string(), pa.string())),
+    ("shape", pa.int64()),
+    ("cells", pa.list_(pa.string())),
 ])
+#: Runs of pages for each core, where the source sets no bound.
+RUNS_PER_CORE = 4
 
 
 @dataclass(frozen=True)
@@ -134,45 +140,52 @@ class PageFolder:
 
 
 @dataclass
-class _Page(InputPartition):
-    page: int
-    offset: int
-    limit: int
+class _Run(InputPartition):
+    """Consecutive pages, from ``first`` up to ``end``."""
 
+    first: int
+    end: int
 
-def page_rows(text: str, page: int) -> Iterator[tuple[int, int, list[tuple[str, str | None]]]]:
-    """(page, row position, cells) of one CSV page; position -1 is the header itself."""
+
+def page_runs(pages: int, most: int) -> list[_Run]:
+    """All pages in at most ``most`` runs of even length."""
+    count = min(pages, most)
+    cuts = [pages * i // count for i in range(count + 1)]
+    return [_Run(first, end) for first, end in zip(cuts, cuts[1:], strict=False)]
+
+
+def page_rows(text: str, page: int) -> Iterator[tuple[int, int, int, list[str | None]]]:
+    """(page, row position, shape, cells) of one CSV page; position -1 is the header itself."""
     reader = csv.reader(io.StringIO(text, newline=""))
     header = next(reader, None)
     if header is None:
         return
     names = unique_header(header)
-    yield page, -1, [(name, None) for name in names]
+    shape = int.from_bytes(blake2b(json.dumps(names).encode(), digest_size=8).digest(), "big", signed=True)
+    yield page, -1, shape, names
     position = 0
     for row in reader:
         if not row:
             continue  # blank line
         if len(row) > len(names):
             raise ValueError(f"page {page}, row {position} has more cells than the header")
-        cells = row + [None] * (len(names) - len(row))
-        yield page, position, list(zip(names, cells))
+        yield page, position, shape, row
         position += 1
 
 
-def paged_csv_source(fetch: PageFetcher, settings: PullSettings, name: str = "stepmill_pages") -> type[DataSource]:
-    """A data source class whose partitions are the pages of the pull, fetched by ``fetch``."""
+def paged_csv_source(fetch: PageFetcher, settings: PullSettings, runs: int, name: str = "stepmill_pages") -> type[DataSource]:
+    """A data source class whose partitions are at most ``runs`` runs of the pull's pages, fetched by ``fetch``."""
 
     class Reader(DataSourceReader):
         def partitions(self):
-            return [_Page(i, offset, settings.chunk_limit) for i, offset in enumerate(settings.offsets)]
+            return page_runs(len(settings.offsets), runs)
 
         def read(self, partition):
-            rows = list(page_rows(fetch(partition.offset, partition.limit), partition.page))
-            columns = list(zip(*rows)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(values, type=f.type) for values, f in zip(columns, _ARROW_ROWS)],
-                schema=_ARROW_ROWS,
-            )
+            for page in range(partition.first, partition.end):
+                rows = list(page_rows(fetch(settings.offsets[page], settings.chunk_limit), page))
+                if rows:
+                    columns = [pa.array(values, type=f.type) for values, f in zip(zip(*rows, strict=True), _ARROW_ROWS, strict=True)]
+                    yield pa.RecordBatch.from_arrays(columns, schema=_ARROW_ROWS)
 
     class PagedCsv(DataSource):
         @classmethod
@@ -204,8 +217,8 @@ def extract_paged_csv(
 
     Every page asks for ``chunk_limit`` rows, the last one too. ``fetch`` defaults to
     :class:`HttpPages` for http URLs and :class:`PageFolder` for others. At most
-    ``concurrent_batch_limit`` pages are fetched at the same time. ``keep_position`` adds ``page``
-    and ``row_pos``, which order the rows as the source had them.
+    ``concurrent_batch_limit`` pages are fetched at the same time, but for a folder, which the whole cluster
+    may read. ``keep_position`` adds ``page`` and ``row_pos``, which order the rows as the source had them.
     """
     settings = PullSettings(
         data_source_url, offset, seed_limit, chunk_limit, concurrent_batch_limit, sleep_dur
@@ -213,15 +226,14 @@ def extract_paged_csv(
     if fetch is None:
         remote = data_source_url.startswith(("http://", "https://"))
         fetch = HttpPages(data_source_url, sleep_dur) if remote else PageFolder(_qualified(spark, data_source_url))
-    source = paged_csv_source(fetch, settings, f"stepmill_pages_{uuid.uuid4().hex}")
+    runs = RUNS_PER_CORE * spark.sparkContext.defaultParallelism if isinstance(fetch, PageFolder) else concurrent_batch_limit
+    source = paged_csv_source(fetch, settings, runs, f"stepmill_pages_{uuid.uuid4().hex}")
     spark.dataSource.register(source)
-    pages = spark.read.format(source.name()).load().coalesce(concurrent_batch_limit)
-    landed = materialise(pages, "pages")
+    landed = materialise(spark.read.format(source.name()).load(), "pages")
 
-    headers = landed.filter("row_pos = -1").select("page", F.posexplode(F.map_keys("cells")).alias("pos", "name"))
-    # One row per distinct column name.
-    first_seen = headers.groupBy("name").agg(F.min(F.struct("page", "pos")).alias("at")).collect()
-    names = [row.name for row in sorted(first_seen, key=lambda row: row["at"])]
+    # One row per distinct header.
+    shapes = landed.filter("row_pos = -1").groupBy("shape").agg(F.min_by("cells", "page").alias("names"), F.min("page").alias("page")).orderBy("page").collect()
+    names = list(dict.fromkeys(name for row in shapes for name in row["names"]))
     if not names:
         raise ValueError(f"no columns to read in {data_source_url}")
 
@@ -229,10 +241,18 @@ def extract_paged_csv(
     clash = set(position) & set(names)
     if clash:
         raise ValueError(f"keep_position would hide the columns {sorted(clash)}")
+
+    def cell(name: str) -> Column:
+        """The cell under this name, wherever the row's own header has it."""
+        places: dict[int, list[int]] = {}
+        for row in shapes:
+            if name in row["names"]:
+                places.setdefault(row["names"].index(name), []).append(row["shape"])
+        found = [F.when(F.col("shape").isin(of), F.get("cells", F.lit(at))) for at, of in places.items()]
+        return F.get("cells", F.lit(next(iter(places)))) if len(shapes) == 1 else F.coalesce(*found)
+
     rows = landed.filter("row_pos >= 0")
-    cells = rows.select(
-        *position, *[null_tokens(F.col("cells")[F.lit(name)]).alias(name) for name in names]
-    )
+    cells = rows.select(*position, *[null_tokens(cell(name)).alias(name) for name in names])
     types, _ = vote(cells, names)
     return cells.select(*[quoted(c) for c in position], *typed(types))
 

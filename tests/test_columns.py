@@ -1,4 +1,5 @@
 import math
+from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
@@ -54,6 +55,27 @@ def test_cast_to_nullable_integer_takes_whole_numbers_only(frame):
     assert values(columns.cast_columns({"a": "int64"})(df)) == [(2,)]
 
 
+def test_whole_decimals_and_doubles_keep_every_digit(frame):
+    big = 9007199254740993
+    df = frame("a decimal(20,0), b decimal(38,2), c double, d decimal(20,0)", [(Decimal(big), Decimal(f"{big}.00"), 2.0**60, Decimal(2**64 - 1)), (None, None, math.nan, None)])
+    out = columns.cast_columns({"a": "Int64", "b": "Int64", "c": "Int64", "d": "UInt64"})(df)
+    assert values(out) == [(big, big, 2**60, Decimal(2**64 - 1)), (None, None, None, None)]
+    with pytest.raises(Exception, match="cannot safely cast"):
+        columns.cast_columns({"a": "Int64"})(frame("a decimal(20,2)", [(Decimal("1.50"),)])).collect()
+    with pytest.raises(Exception, match="cannot safely cast"):
+        columns.cast_columns({"a": "Int64"})(frame("a double", [(math.inf,)])).collect()
+
+
+@pytest.mark.parametrize("dtype, bits", [("UInt8", 8), ("uint8", 8), ("UInt16", 16), ("uint32", 32), ("UInt64", 64)])
+def test_unsigned_types_have_their_range(frame, dtype, bits):
+    most = (1 << bits) - 1
+    fits = frame("a string, b decimal(38,0)", [("0", Decimal(0)), (str(most), Decimal(most)), (None, None)])
+    assert [tuple(map(lambda x: x and int(x), r)) for r in values(columns.cast_columns({"a": dtype, "b": dtype})(fits))] == [(0, 0), (most, most), (None, None)]
+    for bad in (-1, most + 1):
+        with pytest.raises(Exception, match="outside|cannot cast"):
+            columns.cast_columns({"b": dtype})(frame("b decimal(38,0)", [(Decimal(bad),)])).collect()
+
+
 def test_more_dtype_names(frame):
     out = columns.cast_columns({"a": "string[pyarrow]", "b": "UInt8", "c": "datetime64[s]"})(frame("a int, b int, c string", [(1, 2, "2020-01-02")]))
     assert [f.dataType for f in out.schema] == [T.StringType(), T.ShortType(), T.TimestampNTZType()]

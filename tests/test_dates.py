@@ -55,6 +55,48 @@ def test_formats(spark, frame, kind, zone):
         assert value == (None if expected is pd.NaT else str(expected)), (text, fmt)
 
 
+ZONED = [
+    ("2024-03-10 02:30:00+0530", "%Y-%m-%d %H:%M:%S%z"),
+    ("2024-03-10 02:30:00.25-08:00", "%Y-%m-%d %H:%M:%S.%f%z"),
+    ("1824-03-10 02:30:00 +01:02:03", "%Y-%m-%d %H:%M:%S %z"),
+    ("2024-11-03 01:30 Z", "%Y-%m-%d %H:%M %z"),
+    ("2024-11-03 01:30 z", "%Y-%m-%d %H:%M %z"),
+    ("2024-11-03 01:30", "%Y-%m-%d %H:%M%z"),
+    ("2024-11-03 01:30 +05", "%Y-%m-%d %H:%M %z"),
+    ("2024-11-03 01:30 +0577", "%Y-%m-%d %H:%M %z"),
+    ("2024-11-33 01:30 +0500", "%Y-%m-%d %H:%M %z"),
+    ("+0200 2024", "%z %Y"),
+    ("2024-07-01 12:00 America/New_York", "%Y-%m-%d %H:%M %Z"),
+    ("2024-01-01 12:00 UTC", "%Y-%m-%d %H:%M %Z"),
+    ("2024-01-01 12:00 Mars/Base", "%Y-%m-%d %H:%M %Z"),
+    ("Fri, 05 Jan 2024 10:00:00 -0330", "%a, %d %b %Y %H:%M:%S %z"),
+    ("MON 2024-01-05", "%a %Y-%m-%d"),
+    ("Sunday 2024-01-05", "%A %Y-%m-%d"),
+    ("Sun 2024-01-05", "%A %Y-%m-%d"),
+    ("Someday 2024-01-05", "%A %Y-%m-%d"),
+    ("100% Fri 2024", "100%% %a %Y"),
+]
+
+
+@pytest.mark.parametrize("kind, zone", [("TIMESTAMP_NTZ", "UTC"), ("TIMESTAMP_LTZ", "America/New_York")])
+def test_zones_and_weekdays(spark, frame, kind, zone):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.timestampType", "spark.sql.session.timeZone")}
+    spark.conf.set("spark.sql.timestampType", kind)
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = frame("x int", [(1,)]).select(*[F.lit(text).alias(f"c{i}") for i, (text, _) in enumerate(ZONED)])
+        out = dates.parse_date_columns({f"c{i}": f for i, (_, f) in enumerate(ZONED)}, slice_length=None)(df)
+        instants = [isinstance(f.dataType, T.TimestampType) for f in out.schema]
+        assert instants == ["%z" in f.lower() for _, f in ZONED]
+        got = out.select(*[F.unix_micros(c).cast("string") if at else F.col(c).cast("string") for c, at in zip(out.columns, instants, strict=True)]).first()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    for (text, fmt), value, instant in zip(ZONED, got, instants, strict=True):
+        expected = pd.to_datetime(pd.Series([text]), format=fmt, errors="coerce", utc=instant)[0]
+        assert value == (None if expected is pd.NaT else str(expected.value // 1000) if instant else str(expected)), (text, fmt)
+
+
 def test_slice(frame):
     df = frame("a string, b string", [("2024-01-05 10:11:12", "2024-01-05 10:11:12"), ("2024-01-05x", None)])
     out = dates.parse_date_columns({"a": "%Y-%m-%d", "b": "%Y-%m-%d %H:%M:%S"})(df)
@@ -62,8 +104,10 @@ def test_slice(frame):
 
 
 def test_unsupported_format_and_types(frame):
-    with pytest.raises(ValueError, match="%z"):
-        dates.parse_date_columns({"a": "%Y %z"})(frame("a string", []))
+    with pytest.raises(ValueError, match="%W"):
+        dates.parse_date_columns({"a": "%Y %W"})(frame("a string", []))
+    with pytest.raises(ValueError, match="two zones"):
+        dates.parse_date_columns({"a": "%Y %z %Z"})(frame("a string", []))
     with pytest.raises(TypeError):
         dates.parse_date_columns({"a": "%Y"})(frame("a bigint", []))
     with pytest.raises(ValueError, match="zz"):

@@ -13,11 +13,15 @@ from stepmill import (
     extract_csv,
     extract_paged_csv,
     extract_paged_csv_lite,
+    fit_steps,
     nulls,
+    order,
+    profile,
     stage_export,
     strings,
     transform_data,
 )
+from stepmill.plans.fitted import from_json, to_json
 from stepmill.sources import paged
 from stepmill.sources.csv import file_parts, unique_header
 from stepmill.streaming.run import run_batches, write_parquet_stream
@@ -294,16 +298,23 @@ def test_failed_page_fails_the_pull(spark):
         extract_paged_csv(spark, data_source_url="x.csv", seed_limit=30, chunk_limit=10, fetch=broken)
 
 
-def test_one_partition_per_page_and_one_fetch_per_page(spark, tmp_path):
+def test_a_pull_of_any_length_has_few_partitions():
+    runs = paged.page_runs(len(paged.PullSettings("x.csv", seed_limit=10_000_000_000, chunk_limit=1).offsets), 32)
+    assert len(runs) == 32 and runs[0].first == 0 and runs[-1].end == 10_000_000_000
+    assert all(a.end == b.first for a, b in zip(runs, runs[1:])) and max(r.end - r.first for r in runs) - min(r.end - r.first for r in runs) <= 1
+    assert [(r.first, r.end) for r in paged.page_runs(2, 50)] == [(0, 1), (1, 2)]
+
+
+def test_few_partitions_and_one_fetch_per_page(spark, tmp_path):
     def counted(offset, limit):
         with open(tmp_path / f"{offset}", "a") as log:
             log.write("x")
         return fetch_slice(offset, limit)
 
     settings = paged.PullSettings("x.csv", seed_limit=30, chunk_limit=10)
-    source = paged.paged_csv_source(counted, settings)
+    source = paged.paged_csv_source(counted, settings, 2)
     spark.dataSource.register(source)
-    assert spark.read.format(source.name()).load().rdd.getNumPartitions() == 3
+    assert spark.read.format(source.name()).load().rdd.getNumPartitions() == 2
     out = extract_paged_csv(spark, data_source_url="x.csv", seed_limit=30, chunk_limit=10, fetch=counted)
     assert out.count() == 30 and out.count() == 30
     assert {p.name: p.read_text() for p in tmp_path.iterdir()} == {"0": "x", "10": "x", "20": "x"}
@@ -413,9 +424,17 @@ def test_table_steps_on_batches(spark, frame, tmp_path):
     df, stream = source_stream(spark, frame, tmp_path)
     with pytest.raises(ValueError, match="stream"):
         nulls.dropna_by_threshold()(stream)
-    steps = [nulls.nullify_value({"status": "UNKNOWN"}), nulls.dropna_by_threshold(0.3)]
+    steps = [nulls.nullify_value({"status": "UNKNOWN"}), nulls.dropna_by_threshold(0.3), profile.cast_categorical(pct_threshold=0.5)]
     path = str(tmp_path / "out")
+    with pytest.raises(ValueError, match="fit"):
+        run_batches(stream, steps, lambda batch, number: None, path + "-c")
+    fitted = fit_steps(steps, df)
+    decisions = [s for s in fitted if s is not steps[0]]
+    assert from_json(to_json(decisions)) == decisions and decisions[0].columns == ("id", "status", "day", "n")
+    assert profile.categorical_columns(transform_data(fitted, stream)) == ["status", "day"]
+    with pytest.raises(Exception, match="cannot run on a stream"):
+        run_batches(stream, [lambda batch: order.record_cap(3, ["id"])(batch)], lambda batch, number: None, path + "-d").awaitTermination()
     run_batches(
-        stream, steps, lambda batch, number: batch.write.mode("overwrite").parquet(f"{path}/n={number}"), path + "-c"
+        stream, fitted, lambda batch, number: batch.write.mode("overwrite").parquet(f"{path}/n={number}"), path + "-c"
     ).awaitTermination()
     assert spark.read.parquet(path).count() == 30

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from stepmill import profile
+from stepmill import profile, sketch
 from tests.conftest import values
 
 
@@ -110,3 +110,32 @@ def test_codes_treat_nan_as_missing(frame, most):
 def test_codes_of_binary_values(frame, most):
     df = frame("v binary", [(bytearray(b"b" * 5000),), (bytearray(b"a"),), (None,)])
     assert sorted(c for _, c in values(profile.category_codes("v", "code", most)(df))) == [-1, 0, 1]
+
+
+def test_profiles_merge_to_that_of_the_union(spark):
+    df = spark.range(30_000).select(
+        F.col("id"), (F.col("id") % 3).cast("string").alias("few"), F.when(F.col("id") % 2 == 0, F.col("id") % 9000).cast("double").alias("half"),
+        F.lit(None).cast("string").alias("none"), F.array(F.col("id") % 50).alias("nested"),
+    )
+    whole = sketch.column_profile(df)
+    parts = [sketch.column_profile(df.filter(F.col("id") % 4 == i)) for i in range(4)]
+    merged = sketch.merge_profiles([sketch.merge_profiles(parts[:2]), parts[2], parts[3]])
+    assert sorted(values(merged)) == sorted(values(whole))
+    got = {r.column_name: (r.rows, r.non_null, r.distinct_estimate) for r in sketch.profile_counts(merged).collect()}
+    exact = {r.column_name: (r.non_null, r.distinct_values) for r in profile.column_counts(df).collect()}
+    for name, (rows, non_null, estimate) in got.items():
+        assert rows == 30_000 and non_null == exact[name][0] and abs(estimate - exact[name][1]) <= 0.06 * exact[name][1]
+    assert sketch.column_profile(df.select()).count() == 0 and got["none"] == (30_000, 0, 0)
+    # a column that one table lacks
+    other = sketch.merge_profiles([whole, sketch.column_profile(spark.range(5).withColumn("more", F.lit("x")))])
+    assert {r.column_name: r.rows for r in other.collect()}["more"] == 5
+
+
+def test_estimates_are_named(frame):
+    df = frame("few string, near string, many string, empty string", [(str(i % 5), str(i % 50), str(i), None) for i in range(1000)])
+    step = profile.cast_categorical(pct_threshold=0.05, exact=False)
+    decision = step.fit(df)
+    assert decision.estimated == ("empty", "few", "many") and decision.metadata["near"] == {"categorical": True, "categories": 50}
+    out = step(df)
+    assert profile.categorical_columns(out) == ["few", "near"] and profile.estimated_columns(out) == ["few", "many", "empty"]
+    assert profile.estimated_columns(profile.cast_categorical()(df)) == []

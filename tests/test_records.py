@@ -79,3 +79,25 @@ def test_field_without_value_or_default(frame):
     with pytest.raises(ValueError, match="price"):
         records.project_to_model(MODEL)(df)
     assert values(records.project_to_model(MODEL, {"price": 0.0})(df)) == [("a", "c", 0.0)]
+
+
+def test_quarantine_judges_once(spark, tmp_path):
+    model = T.StructType([T.StructField("name", T.StringType(), False, {"min_length": 1}), T.StructField("n", T.IntegerType()), T.StructField("origin", T.StringType())])
+    parsed = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def parse(text):
+        parsed.add(1)
+        return text[1:] or None
+
+    raw = spark.createDataFrame([(f"x{'' if i % 5 == 0 else i}", "?" if i % 7 == 0 else str(i)) for i in range(100)], "page string, n string")
+    split = records.quarantine_to(model, {"origin": "web"})(raw.withColumn("name", parse("page")), str(tmp_path / "out"))
+    good, rejected = values(split.good), values(split.rejected)
+    assert parsed.value == 100
+    assert (split.good_rows, split.rejected_rows) == (len(good), len(rejected)) and len(good) + len(rejected) == 100
+    assert sorted(good) == sorted((str(i), i, "web") for i in range(100) if i % 5 and i % 7)
+    assert sorted(rejected, key=str) == sorted(((None if i % 5 == 0 else str(i), "?" if i % 7 == 0 else str(i), "web", "name: missing" if i % 5 == 0 else "n: not a int") for i in range(100) if i % 5 == 0 or i % 7 == 0), key=str)
+    plan = split.good._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(accepted" in plan and "came" not in plan.split("ReadSchema")[1]
+    empty = records.quarantine_to(model, {"origin": "web"})(raw.limit(0).withColumn("name", F.col("page")), None)
+    assert (empty.good.count(), empty.rejected.count(), empty.good_rows, empty.rejected_rows) == (0, 0, 0, 0)
