@@ -167,7 +167,8 @@ def packed(cut: DataFrame, *, length: int = 2048, group_pieces: int = 8192, orde
     row, group = fresh(kept, "_row"), fresh(kept, "_group")
     schema = StructType([*kept.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())])
     if order:
-        held = with_position(kept, [F.col(quoted(c)) for c in order], row)
+        # Landed before it is sorted, or the sort's look at its bounds would cut the texts a second time.
+        held = with_position(materialise(kept, "pieces"), [F.col(quoted(c)) for c in order], row)
         number, stride = F.expr(f"`{row}` div {window * group_pieces}") * window + F.pmod(F.xxhash64(row), F.lit(window)), window
         parts = held
     else:
