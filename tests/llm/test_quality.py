@@ -18,7 +18,7 @@ def test_fit_finds_single_and_paired_effects():
     assert (7, 9) in {(i, j) for i, j, *_ in model.pairs}
     # The tables show the effects they were made from.
     table, cuts = model.tables[2], model.cuts[2]
-    assert table[np.searchsorted(cuts, 0.9)] - table[np.searchsorted(cuts, 0.3)] > 2
+    assert table[np.searchsorted(cuts, 0.9)] - table[np.searchsorted(cuts, 0.3)] > 1
     assert np.ptp(model.tables[0]) < 1
 
 
