@@ -44,7 +44,7 @@ def neighbour_graph(vectors: np.ndarray, k: int, of: np.ndarray | None = None) -
         some = of[at : at + 64]
         near = vectors[some] @ vectors.T
         near[np.arange(len(some)), some] = -np.inf
-        out.append(np.argpartition(near, len(vectors) - k, axis=1)[:, -k:])
+        out.append(np.argpartition(near, len(vectors) - k, axis=1)[:, -k:].copy())  # not a view of all columns
     return np.concatenate(out)
 
 
