@@ -126,6 +126,49 @@ def test_ordinal_fit_orders_grades():
     assert ((above[:, 0] > 0.5) == (grades > 0)).mean() > 0.98 and (above.sum(1).round() == grades).mean() > 0.9
 
 
+def test_the_fit_is_at_the_top_of_a_plain_likelihood():
+    rng = np.random.default_rng(7)
+    rows = [np.unique(rng.integers(0, 40, 8)) for _ in range(400)]
+    strength = [sum(b < 4 for b in r) + rng.logistic() for r in rows]
+    grades = np.array([0 if s < 1.5 else 1 if s < 3 else 2 for s in strength])
+    model = toxicity.fit(rows, grades, 6, support=2.0)
+
+    def loss(weights, thresholds):
+        total = 2.0 / 1000 * weights.sum()
+        for row, grade in zip(rows, grades.tolist(), strict=True):
+            above = [1.0, *(1 / (1 + np.exp(t - sum(weights[b] for b in row))) for t in thresholds), 0.0]
+            total -= np.log(above[grade] - above[grade + 1])
+        return total
+
+    least = loss(model.weights, model.thresholds)
+    used = np.flatnonzero(model.weights)
+    assert set(range(4)) <= set(used.tolist())
+    for step in (-0.1, 0.1):
+        for k in range(2):
+            moved = model.thresholds.copy()
+            moved[k] += step
+            assert loss(model.weights, moved) > least - 0.01
+        for b in used:
+            moved = model.weights.copy()
+            moved[b] = max(moved[b] + step, 0)
+            assert loss(moved, model.thresholds) > least - 0.01
+    # Severity is the expected grade.
+    above = model.above(rows[:5])
+    assert np.allclose(above.sum(1), [sum(g * (a - b) for g, (a, b) in enumerate(zip([1, *r], [*r, 0], strict=True))) for r in above])
+
+
+def test_toxicity_on_unseen_labels(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", F.col("toxic").alias("grade"))
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    model = toxicity.train(docs, labels.filter(~held))
+    assert len(model.thresholds) == 1
+    rows = toxicity.graded(docs.join(labels.filter(held).withColumnRenamed("grade", "toxic"), "doc_id"), model).collect()
+    found = [r["grade"] for r in rows if r["toxic"]]
+    # One in six of the toxic labels stands at a text without any harsh word.
+    assert len(found) > 100 and np.mean(found) > 0.8 and np.mean([r["grade"] for r in rows if not r["toxic"]]) < 0.01
+
+
 def test_toxicity_on_odd_rows(frame, odd, none):
     labels = frame("doc_id bigint, grade int", [(i, i % 2) for i in range(60)] + [(None, 1), (3, None)])
     docs = frame("doc_id bigint, text string", [(i, "you idiot there" if i % 2 else "kind words") for i in range(60)])
@@ -224,6 +267,54 @@ def test_language_models_hold_out(spark):
     assert sum(r["lang"] == r["lang_pred"] for r in got) / len(got) > 0.97 and all(r["accepted"] for r in got)
 
 
+def test_probabilities_are_those_of_plain_kneser_ney(frame):
+    texts = {"en": ["the cat sat on the mat", "a cat, a hat"], "fr": ["le chat est sur le tapis", "chat et chapeau"]}
+    rows = [(i, t, lang) for i, (lang, t) in enumerate((lang, t) for lang, ts in texts.items() for t in ts)]
+    model = langid.train(frame("doc_id bigint, text string, lang string", rows), F.lit(True))
+    alphabet = set()
+    chances = {}
+    for lang, own in texts.items():
+        grams = Counter(int(g) for _, part, _ in langid._runs(own) for g in part)
+        orders = {4: grams}
+        for n in (3, 2, 1):  # lower orders count the different characters in front
+            orders[n] = Counter(g & (1 << 16 * n) - 1 for g in orders[n + 1])
+        alphabet |= set(orders[1])
+
+        def chance(gram, lang=lang, orders=orders):
+            p = 1 / (size + 1)
+            for n in range(1, 5):
+                counts, suffix = orders[n], gram & (1 << 16 * n) - 1
+                once, twice = (sum(c == k for c in counts.values()) for k in (1, 2))
+                d = min(max(once / max(once + 2 * twice, 1), 0.1), 0.95) if once else 0.5
+                same = {g: c for g, c in counts.items() if g >> 16 == suffix >> 16}
+                total = sum(same.values())
+                if total:
+                    p = (max(counts[suffix] - d, 0) + d * len(same) * p) / total
+            return p
+
+        chances[lang] = chance
+    size = len(alphabet)
+    asked = ["the chat sat", "un chapeau", "xyz", "cat"]
+    entropy, sizes = model.entropies(asked)
+    for i, text in enumerate(asked):
+        grams = [int(g) for _, part, _ in langid._runs([text]) for g in part]
+        assert sizes[i] == len(grams)
+        for k, lang in enumerate(model.languages):
+            plain = -np.mean([np.log(max(chances[lang](g), 1e-12)) for g in grams])
+            assert entropy[i, k] == pytest.approx(plain, rel=1e-4)
+    names, score, best, _ = model.judge(asked)
+    assert names == [model.languages[int(k)] for k in entropy.argmin(1)]
+    relative = np.exp(-model.sharpness * (entropy - entropy.min(1, keepdims=True)))
+    assert np.allclose(score, 1 / relative.sum(1)) and np.allclose(best, entropy.min(1))
+
+
+def test_equally_likely_languages_go_by_name(frame):
+    rows = [(i, "one and the same text", lang) for i, lang in enumerate(["b", "a", "c"] * 3)]
+    model = langid.train(frame("doc_id bigint, text string, lang string", rows), F.lit(True))
+    got = langid.identify(frame("text string", [("the same text",)]), model).first()
+    assert got["lang_pred"] == "a" and got["score"] == pytest.approx(1 / 3)
+
+
 def test_language_on_odd_rows(frame, odd, none):
     docs = frame("doc_id bigint, text string, lang string", [(i, "the cat sat on the mat" if i % 2 else "der Hund lag auf der Matte", "en" if i % 2 else "de") for i in range(40)] + [(1, None, "en"), (2, "x", None), (None, "der", "de")])
     model = langid.train(docs, F.lit(True))
