@@ -88,8 +88,8 @@ _MARK = "\x01 "
 
 def title(c: Column) -> Column:
     """Title case where every run of cased letters is a word: ``o'neil`` becomes ``O'Neil``."""
-    # Plain ASCII: a mark with a blank before every word lets one built-in do all words.
-    marked = F.regexp_replace(F.lower(c), "([^a-z])(?=[a-z])", "$1" + _MARK)
+    # Plain ASCII: a mark with a blank before words that follow no blank lets one built-in do all words.
+    marked = F.regexp_replace(F.lower(c), "([^a-z ])([a-z])", f"$1{_MARK}$2")
     plain = _without(F.initcap(marked), _MARK)
     easy = (F.octet_length(c) == F.length(c)) & ~F.contains(c, F.lit(_MARK[0]))
 

@@ -126,26 +126,30 @@ def with_row_index(order_by: Sequence[str], name: str = "index") -> Step:
 
     def step(df: DataFrame) -> DataFrame:
         _check_order(df, order_by, "with_row_index")
-        key, keys = Key(df, order_by), df.select(*[quoted(c) for c in dict.fromkeys(order_by)])
-        total = keys.count()
-        buckets = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_ROWS))
-        if not key.has_literals or buckets > MAX_BUCKETS:
-            return _landed_index(df, key, name)
-        bounds = _bounds(keys, key, total, buckets)
-        counts = _counts(keys, key, bounds)
-        if max(counts) > 4 * max(BUCKET_ROWS, total // buckets):  # one key fills a bucket
-            return _landed_index(df, key, name)
-        before = F.element_at(F.array(*[F.lit(n) for n in accumulate(counts[:-1], initial=0)]).cast("array<bigint>"), F.col(_PART) + 1)
-        place = F.row_number().over(Window.partitionBy(_PART).orderBy(*key.order()))
-        return (
-            df.withColumn(_PART, key.bucket(bounds))
-            .withColumn(_SEQ, place)
-            .select(*[quoted(c) for c in df.columns], (before + F.col(_SEQ) - 1).alias(name))
-        )
+        key = Key(df, order_by)
+        total = df.select(*key.columns).count()
+        return _numbered(df, key, name, total, max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_ROWS)))
 
     return step
 
 
+def _numbered(df: DataFrame, key: Key, name: str, total: int, buckets: int) -> DataFrame:
+    if not key.has_literals or buckets > MAX_BUCKETS:
+        return _landed_index(df, key, name)
+    keys = df.select(*key.columns)
+    bounds = _bounds(keys, key, total, buckets)
+    counts = _counts(keys, key, bounds) if bounds else [total]
+    if max(counts) > 4 * max(BUCKET_ROWS, total // buckets):  # one key fills a bucket
+        return _landed_index(df, key, name)
+    before = F.element_at(F.array(*[F.lit(n) for n in accumulate(counts[:-1], initial=0)]).cast("array<bigint>"), F.col(_PART) + 1)
+    place = F.row_number().over(Window.partitionBy(_PART).orderBy(*key.order()))
+    return (
+        df.withColumn(_PART, key.bucket(bounds))
+        .withColumn(_SEQ, place)
+        .select(*[quoted(c) for c in df.columns], (before + F.col(_SEQ) - 1).alias(name))
+    )
+
+
 def _landed_index(df: DataFrame, key: Key, name: str) -> DataFrame:
     """Rows sorted by range over the cluster, landed in the shared folder, and shifted by the rows of earlier partitions."""
     placed = materialise(
@@ -173,8 +177,8 @@ def _landed_index(df: DataFrame, key: Key, name: str) -> DataFrame:
     )
 
 
-def key_at(df: DataFrame, key: Key, rank: int, total: int) -> tuple[Bound, int]:
-    """The key that ``rank`` (1 to ``total``) rows reach, and how many rows do: ``rank`` itself if keys are unique.
+def key_at(df: DataFrame, key: Key, rank: int, total: int) -> tuple[Bound, bool]:
+    """The key that ``rank`` (1 to ``total``) rows reach, and whether no more rows do, as with unique keys.
 
     Each round cuts the bucket that holds the rank into smaller ones; only key columns are read.
     """
@@ -191,9 +195,9 @@ def key_at(df: DataFrame, key: Key, rank: int, total: int) -> tuple[Bound, int]:
         if at < len(bounds):
             keys = keys.filter(key.up_to(bounds[at]))
         before, rows = before + ends[at] - counts[at], counts[at]
-    found = keys.orderBy(*key.order()).offset(rank - before - 1).limit(1).select(*[t.alias(f"t{i}") for i, t in enumerate(key.as_text())])
-    bound = tuple(found.first())
-    return bound, before + keys.filter(key.up_to(bound)).count()
+    found = keys.orderBy(*key.order()).offset(rank - before - 1).limit(2).select(*[t.alias(f"t{i}") for i, t in enumerate(key.as_text())])
+    bound, *after = (tuple(r) for r in found.collect())
+    return bound, bound not in after
 
 
 def _check_order(df: DataFrame, order_by: Sequence[str], step: str) -> None:
@@ -233,10 +237,12 @@ def paged_slice(
         _check_order(df, order_by, "paged_slice")
         pages = -(-seed_limit // chunk_limit)
         end = offset + pages * chunk_limit
-        sliced, skipped = _between(df, order_by, max(0, offset), max(0, end))
+        key = Key(df, order_by)
+        sliced, skipped, rows = _between(df, key, max(0, offset), max(0, end))
+        rows = sliced.count() if rows is None else rows
         index = F.col("row_index")
         return (
-            with_row_index(order_by, "row_index")(sliced)
+            _numbered(sliced, key, "row_index", rows, max(1, -(-rows // BUCKET_ROWS)))
             .withColumn("row_index", index + skipped)
             .filter((index >= offset) & (index < end))
             .withColumn("page", F.floor((index - F.lit(offset)) / F.lit(chunk_limit)).cast("bigint"))
@@ -245,26 +251,25 @@ def paged_slice(
     return step
 
 
-def _between(df: DataFrame, order_by: Sequence[str], start: int, end: int) -> tuple[DataFrame, int]:
-    """Rows that hold the ranks ``start`` up to ``end`` (0-based, exclusive), and how many rows come before them.
+def _between(df: DataFrame, key: Key, start: int, end: int) -> tuple[DataFrame, int, int | None]:
+    """Rows that hold the ranks ``start`` up to ``end`` (0-based, exclusive), how many come before them, and their number if known.
 
     More rows come back where several share the key at an end.
     """
-    key = Key(df, order_by)
     total = df.select(*key.columns).count()
     if start >= total or end <= start:
-        return df.filter(F.lit(False)), 0
+        return df.filter(F.lit(False)), 0, 0
     if not key.has_literals:
-        return df, 0
+        return df, 0, total
     skipped = 0
     if start:
-        bound, reached = key_at(df, key, start, total)
-        if reached == start:
+        bound, alone = key_at(df, key, start, total)
+        if alone:
             df, skipped = df.filter(key.beyond(bound)), start
-    if end < total:
-        bound, _ = key_at(df, key, end - skipped, total - skipped)
-        df = df.filter(key.up_to(bound))
-    return df, skipped
+    if end >= total:
+        return df, skipped, total - skipped
+    bound, alone = key_at(df, key, end - skipped, total - skipped)
+    return df.filter(key.up_to(bound)), skipped, end - skipped if alone else None
 
 
 def record_cap(max_records: int | None, order_by: Sequence[str]) -> Step:
@@ -286,9 +291,9 @@ def record_cap(max_records: int | None, order_by: Sequence[str]) -> Step:
         total = df.select(*key.columns).count()
         if total <= max_records:
             return df
-        bound, reached = key_at(df, key, max_records, total)
+        bound, alone = key_at(df, key, max_records, total)
         kept = df.filter(key.up_to(bound))
-        if reached == max_records:
+        if alone:
             return kept
         return with_row_index(order_by, "__row")(kept).filter(F.col("__row") < max_records).drop("__row")
 

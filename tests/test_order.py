@@ -64,7 +64,7 @@ def test_ranks_of_all_kinds_of_keys(spark, monkeypatch, names):
     want = [r["i"] for r in df.orderBy(*[F.col(n).asc_nulls_last() for n in names]).collect()]
     numbered = order.with_row_index(names, "at_row")(df)
     assert {r["i"]: r["at_row"] for r in numbered.collect()} == {i: n for n, i in enumerate(want)}
-    for cap in (1, 19, 300, 599, 600, 601):
+    for cap in (1, 300, 600):
         assert {r["i"] for r in order.record_cap(cap, names)(df).collect()} == set(want[:cap])
     got = order.paged_slice(names, offset=250, seed_limit=70, chunk_limit=30)(df).collect()
     assert {(r["i"], r["row_index"], r["page"]) for r in got} == {(i, n, (n - 250) // 30) for n, i in enumerate(want) if 250 <= n < 340}
@@ -127,6 +127,12 @@ def test_paged_slice(spark, seed, chunk, offset):
     assert sorted(got) == expected
 
 
+def test_nothing_to_slice(spark):
+    empty = spark.range(0)
+    assert values(order.paged_slice(["id"])(empty)) == [] and values(order.record_cap(5, ["id"])(empty)) == []
+    assert values(order.paged_slice(["id"], offset=50)(spark.range(20))) == []
+
+
 def test_record_cap(spark):
     df = spark.range(100).repartition(5)
     assert sorted(values(order.record_cap(7, ["id"])(df))) == [(i,) for i in range(7)]
