@@ -124,11 +124,10 @@ def balanced_cuts(groups: DataFrame, size: str, end: str, shards: int) -> list[i
         found = groups.agg(*sides).first()
         return [(found[2 * i] or 0, found[2 * i + 1] or total) for i in range(len(places))]
 
-    # From each of these on, the remaining shards suffice.
-    least, at = [], total
-    for _ in ideal:
-        at = around([at - capacity])[0][1] if at > capacity else 0
-        least.append(at)
+    # From each of these on, the remaining shards suffice: the same walk from the other end.
+    turned = groups.select(F.col(size).alias("size"), (F.lit(total) - F.col(end) + F.col(size)).alias("end"))
+    least = [total - cut for cut in minimax_cuts(turned, "size", "end", shards)]
+    least += [0] * (len(ideal) - len(least))
     cuts, at = [], 0
     for place, low, sides in zip(ideal, reversed(least), around(ideal) if ideal else [], strict=True):
         fit = [e for e in (*sides, low) if max(low, at + 1) <= e <= at + capacity and e < total]
