@@ -19,10 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stepmill.llm.common import lowest_by_hash, with_position
-from stepmill.llm.vectors import CANDIDATES, QUERIES, best, clean, div, first_of, in_blocks, matrix, ranked, searched
+from stepmill.llm.vectors import CANDIDATES, QUERIES, best, clean, div, first_of, in_blocks, matrix, met, ranked, searched
 from stepmill.session import materialise
 
 
+#: Rows a partition should hold.
+PART_ROWS = 2048
+
+
 @dataclass
 class Router:
     """Partition probabilities are softmax(vec @ weights + bias); ``probes`` partitions are searched."""
@@ -143,16 +147,19 @@ def _scorer(k: int):
     return score
 
 
-def nearest(table: DataFrame, k: int, every: int, *, key: str = "vec_id", vector: str = "embedding", parts: int = 32, sample_rows: int = 8192, recall: float = 0.97) -> DataFrame:
+def nearest(table: DataFrame, k: int, every: int, *, key: str = "vec_id", vector: str = "embedding", parts: int | None = None, sample_rows: int = 8192, recall: float = 0.97) -> DataFrame:
     """(query_id, rank, vec_id, score): for rows whose key divides by ``every`` the ``k`` nearest others found.
 
     Nearness is the largest inner product, in double precision; ties to the smaller key. Rows with a null key or
     vector, an empty or zero vector, or a null or non-finite component take no part; vectors meet only
     those of their own dimension. The index is fitted on at most ``sample_rows`` vectors picked by hash and files every row.
+    There are ``parts`` partitions, by default one for some 2,048 rows, as far as the sample has 32 vectors for each.
     A query whose partitions hold fewer than ``k`` others is searched against all rows.
     """
     rows = clean(table, key, vector).filter(F.exists("vec", lambda x: x != 0))
     sample = lowest_by_hash(rows, ["key", "vec"], sample_rows, "key").select("dim", "vec").toArrow()
+    if parts is None:
+        parts = max(32, 1 << (max(rows.count(), 1) // PART_ROWS).bit_length())
     dims = sample.column("dim").to_numpy()
     dim = int(np.bincount(dims).argmax()) if len(dims) else 0
     # Copies of one vector would fill whole partitions of the sample's graph; one of each is enough to learn from.
@@ -172,4 +179,4 @@ def nearest(table: DataFrame, k: int, every: int, *, key: str = "vec_id", vector
     )
     visits = with_position(asked.unionByName(widened), [F.col("part"), F.col("row")], "place").withColumn("q_block", div("place", QUERIES))
     q_blocks = in_blocks(visits.select("part", "q_block", "key", "row", "vec"), ["part", "q_block"], "q")
-    return ranked(searched(q_blocks.join(blocks, "part"), _scorer(k), "double"), k)
+    return ranked(searched(met(q_blocks, blocks, "part"), _scorer(k), "double"), k)

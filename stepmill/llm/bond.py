@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stepmill.llm.vectors import matrix
+from stepmill.llm.vectors import matrix, met
 from stepmill.session import materialise, quoted
 
 #: Bytes of a block's columns, and the rows it has at most.
@@ -83,18 +83,6 @@ def anchors_of(blocks: DataFrame, every: int) -> DataFrame:
     return blocks.mapInArrow(picked, "dim int, home bigint, place bigint, key bigint, label string, vec array<double>")
 
 
-def met(anchors: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Every group of anchors (rows of ``anchors``) with every block of its dimension.
-
-    Blocks are dealt to stripes, about four to each; anchors go to all stripes of their dimension. So the
-    join's keys are as many as the table asks for, and even.
-    """
-    counted = blocks.groupBy("dim").agg(F.ceil(F.count("*") / 4).cast("int").alias("stripes"))
-    left = anchors.join(counted, "dim").withColumn("stripe", F.explode(F.sequence(F.lit(0), F.col("stripes") - 1))).drop("stripes")
-    right = blocks.join(counted, "dim").withColumn("stripe", F.pmod(F.hash("block"), "stripes")).drop("stripes")
-    return left.join(right, ["dim", "stripe"])
-
-
 def _kth(values: np.ndarray, k: int):
     """The ``k``-th largest value, or None where there are fewer."""
     if len(values) < k:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stepmill.llm.common import with_position
-from stepmill.llm.vectors import CANDIDATES, QUERIES, best, clean, div, first_of, in_blocks, matrix, ranked, searched
+from stepmill.llm.vectors import CANDIDATES, QUERIES, best, clean, div, first_of, in_blocks, matrix, met, ranked, searched
 from stepmill.session import materialise
 
 
@@ -103,12 +103,12 @@ def top_k(table: DataFrame, k: int, every: int, *, key: str = "vec_id", vector:
     leading = blocks.join(firsts, ["dim", "block"])
     score = _scorer(k, turns)
     q_blocks = in_blocks(queries.select("dim", "q_block", "key", "row", "vec"), ["dim", "q_block"], "q")
-    start = materialise(searched(q_blocks.join(leading, "dim"), score, "long"), "first-scores")
+    start = materialise(searched(met(q_blocks, leading), score, "long"), "first-scores")
     known = start.groupBy("query_row").agg(F.count("*").alias("n"), F.min("score").alias("least"))
     bounded = queries.join(known, F.col("row") == F.col("query_row"), "left").withColumn("least", F.when(F.col("n") >= k, F.col("least").cast("double")).otherwise(F.lit(float("-inf"))))
     later = in_blocks(bounded.select("dim", "q_block", "key", "row", "vec", "least"), ["dim", "q_block"], "q", {"reach": _reach})
     rest = blocks.join(firsts.withColumnRenamed("block", "lead"), "dim").filter("block > lead")
-    pairs = later.join(rest, "dim").filter("longest >= reach")
+    pairs = met(later, rest).filter("longest >= reach")
     return ranked(start.unionByName(searched(pairs, score, "long")), k)
 
 

@@ -48,6 +48,18 @@ def in_blocks(rows: DataFrame, by: list[str], prefix: str, extra: dict[str, Call
     return rows.groupBy(*by).applyInArrow(fold, schema)
 
 
+def met(asking: DataFrame, blocks: DataFrame, by: str = "dim") -> DataFrame:
+    """Every row of ``asking`` with every block of its dimension (or of the same ``by``).
+
+    Blocks are dealt to stripes, about four to each; the asking rows go to all stripes. So the join's keys
+    are as many as the table asks for, and even, though all rows may have one dimension.
+    """
+    counted = blocks.groupBy(by).agg(F.ceil(F.count("*") / 4).cast("int").alias("stripes"))
+    left = asking.join(counted, by).withColumn("stripe", F.explode(F.sequence(F.lit(0), F.col("stripes") - 1))).drop("stripes")
+    right = blocks.join(counted, by).withColumn("stripe", F.pmod(F.hash("block"), "stripes")).drop("stripes")
+    return left.join(right, [by, "stripe"])
+
+
 def searched(pairs: DataFrame, score: Callable[..., tuple[np.ndarray, np.ndarray, list]], kind: str) -> DataFrame:
     """Block pairs to (query row, query key, key, row, score): what ``score`` picks of each pair.
 

@@ -414,6 +414,26 @@ def test_nearest_finds_most(spark, vectors):
     assert hits / len(found) >= 0.9
 
 
+def test_nearest_beyond_the_sample(spark, monkeypatch):
+    """Recall on a table eight times the sample, whose queries the index never saw; more rows make more partitions."""
+    rng = np.random.default_rng(11)
+    centres = rng.standard_normal((60, 24))
+    x = centres[rng.integers(60, size=8000)] + 0.4 * rng.standard_normal((8000, 24))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>").repartition(4)
+    monkeypatch.setattr(ann, "PART_ROWS", 128)
+    used = []
+    fitted = ann.fitted
+    monkeypatch.setattr(ann, "fitted", lambda sample, **o: used.append((len(sample), o["parts"])) or fitted(sample, **o))
+    found = ann.nearest(table, 20, 20, sample_rows=1000).toPandas()
+    assert used == [(1000, 64)] and len(found) == 400 * 20
+    hits = 0
+    for i in range(0, 8000, 20):
+        score = x @ x[i]
+        score[i] = -np.inf
+        hits += len({*np.argsort(-score)[:20]} & {*found.loc[found["query_id"] == i, "vec_id"]})
+    assert hits / len(found) >= 0.9
+
+
 def test_partition_is_balanced():
     label = ann.balanced_partition(ann.neighbour_graph(np.random.default_rng(7).standard_normal((700, 6)), 8), 8)
     assert np.ptp(np.bincount(label, minlength=8)) <= 1
