@@ -41,6 +41,8 @@ def local_session(app: str = "stepmill", cores: int | str = "*") -> SparkSession
 
 _shipped: set[str] = set()
 _notes: list[list[str]] = []
+# Catalog names of landed tables that have one, by path.
+_catalogued: dict[str, str] = {}
 # On a local master without the setting: one folder for each application.
 _local_folders: dict[str, str] = {}
 
@@ -84,6 +86,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def catalogued(path: str, name: str) -> None:
+    """Note the catalog name of a table landed at ``path``; ``release`` drops it."""
+    _catalogued[path] = name
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Run ``df`` once, keep it as a parquet table in the shared folder, and read it back.
 
@@ -162,9 +169,12 @@ class Files:
 
 
 def release(spark: SparkSession, tables: list[str]) -> None:
-    """Remove landed tables. DataFrames that still read them can't be run any more."""
+    """Remove landed tables, from the catalog too. DataFrames that still read them can't be run any more."""
     while tables:
-        path = spark._jvm.org.apache.hadoop.fs.Path(tables.pop())
+        landed = tables.pop()
+        if landed in _catalogued:
+            spark.sql(f"DROP TABLE IF EXISTS {_catalogued.pop(landed)}")
+        path = spark._jvm.org.apache.hadoop.fs.Path(landed)
         path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
