@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stepmill.session import materialise, quoted, scratch_path
+from stepmill.session import catalogued, materialise, quoted, scratch_path
 
 # monotonically_increasing_id keeps the position within the partition in its lower 33 bits.
 _POSITION_MASK = (1 << 33) - 1
@@ -119,13 +119,14 @@ def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame
 def bucketed(df: DataFrame, key: str, label: str) -> DataFrame:
     """Land ``df`` in the shared folder as a table bucketed by ``key``: joins on it move only the other side.
 
-    The table is registered in the session's catalog under a fresh name.
+    The table is registered in the session's catalog under a fresh name, until it is released.
     """
     spark = df.sparkSession
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, label)
     name = f"stepmill_{path.rsplit('-', 1)[1]}"
     df.repartition(count, key).write.bucketBy(count, key).options(path=path, compression="zstd").format("parquet").saveAsTable(name)
+    catalogued(path, name)
     # The shuffle moved all texts; its files go when the driver drops the finished plan.
     spark._jvm.System.gc()
     return spark.table(name)

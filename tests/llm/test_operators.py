@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from stepmill.llm import ann, common, langid, mixing, packing, queries, sharding, simhash, substrings, topk, toxicity, urlfilter
+from stepmill.session import release, scratch
 
 ODD = [(1, None), (2, ""), (2, ""), (3, "   \n"), (None, "one"), (4, "Å 中文 \U0001d11e words, here"), (5, "ab " * 60_000), (6, "x" * 3000), (6, "x" * 3000)]
 
@@ -40,6 +41,16 @@ def test_positions_and_sums(frame):
         assert r["sum"] == total
 
 
+def test_released_tables_leave_the_catalog(spark):
+    with scratch(spark) as tables:
+        landed = common.bucketed(spark.range(20), "id", "buckets")
+    assert landed.count() == 20
+    before = {t.name for t in spark.catalog.listTables() if t.name.startswith("stepmill_")}
+    release(spark, tables)
+    after = {t.name for t in spark.catalog.listTables() if t.name.startswith("stepmill_")}
+    assert len(before - after) == 1
+
+
 def test_components_of_chains(frame):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (102, 100), (7, 7)]
     got = dict(common.components(frame("a bigint, b bigint", edges)).collect())
