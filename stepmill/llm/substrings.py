@@ -236,21 +236,33 @@ def _strings(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
             )
 
 
+def _looked_up(rows: DataFrame, found: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
+    """``rows`` with ``found`` (a row for each key, with the key's ``count`` among ``total`` rows) on ``keys``.
+
+    Keys that hold more than a two-thousandth of the rows, fewer than 2,000 by their nature, meet their rows by a broadcast;
+    the others by a shuffle, in which no key is large.
+    """
+    frequent = F.broadcast(found.filter(F.col(count) > total / 2000))
+    others = rows.join(frequent.select(*keys), keys, "left_anti").join(found.filter(F.col(count) <= total / 2000), keys)
+    return rows.join(frequent, keys).unionByName(others)
+
+
 def repeated_runs(table: DataFrame, length: int = 200, crowd: int = 4096) -> DataFrame:
     """(row, first, last): runs of starts of repeated strings. ``table`` is bucketed and has ``row`` and binary ``text``."""
     anchors = materialise(
         table.select("row", "text").mapInArrow(lambda b: _anchors(b, length), "row bigint, first int, last int, anchor bigint, context bigint"),
         "anchors",
     )
-    # Landed, so that the join has plain shuffles on both sides and a frequent anchor's rows can be split.
-    several = materialise(anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "several")
-    shared = materialise(anchors.join(several, "anchor"), "shared-anchors")
+    total = anchors.count()
+    several = materialise(anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1"), "several")
+    shared = materialise(_looked_up(anchors, several, ["anchor"], "n", total).drop("n"), "shared-anchors")
     place = F.min(F.struct("row", "first", "last")).alias("place")
     classes = materialise(shared.groupBy("anchor", "context").agg(F.count("*").alias("copies"), place), "contexts")
-    whole = shared.join(classes.filter("copies > 1").select("anchor", "context"), ["anchor", "context"], "left_semi").select("row", "first", "last")
+    copied = classes.filter("copies > 1").select("anchor", "context", "copies")
+    whole = _looked_up(shared, copied, ["anchor", "context"], "copies", total).select("row", "first", "last")
     kinds = classes.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1")
     wanted = (
-        classes.join(kinds, "anchor")
+        _looked_up(classes, kinds, ["anchor"], "kinds", classes.count())
         .groupBy(F.col("place.row").alias("row"))
         .agg(F.collect_list(F.struct("anchor", "kinds", "copies", "place.first", "place.last")).alias("wanted"))  # bounded by the text
     )
