@@ -67,21 +67,22 @@ class Key:
             return F.timestamp_micros(F.lit(int(text)))
         return F.lit(text).cast(self.types[i])
 
-    def _sortable(self, columns: Sequence[Column]) -> Column:
-        return F.struct(*[part.alias(f"k{n}{i}") for i, c in enumerate(columns) for n, part in enumerate((c.isNull(), c))])
-
     def sortable(self) -> Column:
         """One value that sorts as the key does."""
-        return self._sortable(self.columns)
+        return F.struct(*[part.alias(f"k{n}{i}") for i, c in enumerate(self.columns) for n, part in enumerate((c.isNull(), c))])
 
     def up_to(self, bound: Bound) -> Column:
-        """True where the key is at most the bound; else false or null."""
-        literals = [self._literal(i, text) for i, text in enumerate(bound)]
-        if len(bound) == 1:
-            return F.lit(True) if bound[0] is None else self.columns[0] <= literals[0]
-        whole = self._sortable(self.columns) <= self._sortable(literals)
-        # The scan understands the first column alone.
-        return whole if bound[0] is None else (self.columns[0] <= literals[0]) & whole
+        """True where the key is at most the bound, column by column; else false or null. Scans understand it."""
+        out = F.lit(True)
+        for i in reversed(range(len(bound))):
+            c, value = self.columns[i], self._literal(i, bound[i])
+            # Nulls come last: before one lies all that is no null.
+            before, same = (c < value, c == value) if bound[i] is not None else (c.isNotNull(), c.isNull())
+            if i == len(bound) - 1:
+                out = c <= value if bound[i] is not None else F.lit(True)
+            else:
+                out = before | (same & out)
+        return out
 
     def beyond(self, bound: Bound) -> Column:
         return F.coalesce(~self.up_to(bound), F.lit(True))
