@@ -276,7 +276,8 @@ def _between(df: DataFrame, key: Key, start: int, end: int) -> tuple[DataFrame,
 def record_cap(max_records: int | None, order_by: Sequence[str]) -> Step:
     """The first ``max_records`` rows in order; ``None`` keeps all, zero or less keeps none.
 
-    The cap becomes a comparison with the key at its rank, looked up when the step is applied. Where several
+    The cap becomes a comparison with the key at its rank, looked up when the step is applied; that reads the key
+    columns two times and more, so materialise a costly input first. The rows come in any order. Where several
     rows share that key, some of them are taken.
     """
 

@@ -10,6 +10,7 @@ from stepmill.operators.html import Locator, RecordSchema, TextField, extract_re
 from stepmill.operators.order import record_cap
 from stepmill.operators.records import conform, normalize_text, nullify_empty
 from stepmill.plans.pipeline import Step
+from stepmill.session import materialise, require_batch
 
 # The selectors, prefixes, patterns, sentinel and skip positions of the listing site.
 CONTAINER = Locator(".productListItem", (".bc-list-item",))
@@ -98,8 +99,13 @@ def listing_records(
             .transform(normalize_text(LISTING_MODEL.fieldNames()))
             .transform(conform(model))
             .transform(nullify_empty())
-            .transform(record_cap(max_records, position))
         )
+        if max_records is not None and max_records > 0:
+            require_batch(pages, "record_cap")
+            # The cap reads its input several times: pages are parsed once, and capped records come in crawl order.
+            records = materialise(records, "listing").transform(record_cap(max_records, position)).orderBy(*position)
+        else:
+            records = records.transform(record_cap(max_records, position))
         return records if keep_position else records.select(*LISTING_MODEL.fieldNames())
 
     return step
