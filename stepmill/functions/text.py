@@ -113,12 +113,31 @@ def drop_zero_width(c: Column) -> Column:
     return c
 
 
+#: About so many characters of a batch are Python objects at a time; the rest of it stays in Arrow.
+_PIECE_CHARS = 1 << 18
+
+
 @F.arrow_udf(T.StringType())
 def _nfkc(values: pa.Array) -> pa.Array:
-    return pa.array(
-        [None if v is None else unicodedata.normalize("NFKC", v) for v in values.to_pylist()],
-        type=pa.string(),
-    )
+    pieces, start, piece, chars, changed, any_changed = [], 0, [], 0, False, False
+    for at, value in enumerate(values, 1):
+        text = value.as_py()
+        normal = None if text is None else unicodedata.normalize("NFKC", text)
+        changed |= normal != text
+        piece.append(normal)
+        chars += len(normal or "")
+        if chars > _PIECE_CHARS or at == len(values):
+            # A piece that is normal already stays where it is.
+            pieces.append(pa.array(piece, type=values.type) if changed else values.slice(start, at - start))
+            any_changed |= changed
+            start, piece, chars, changed = at, [], 0, False
+    if not any_changed:
+        return values
+    out = pa.concat_arrays(pieces)
+    del pieces
+    # Else each batch leaves its pieces' memory with the worker.
+    pa.default_memory_pool().release_unused()
+    return out
 
 
 def nfkc(c: Column) -> Column:

@@ -1,3 +1,7 @@
+import tracemalloc
+import unicodedata
+
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -31,6 +35,30 @@ def test_ascii_text_is_not_sent_to_python(frame):
     assert "CASE WHEN NOT" in plan
 
 
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+@pytest.mark.parametrize("added", ["\u200b", "\u2026 \ufb01"])
+def test_a_batch_is_normalised_piece_by_piece(kind, added):
+    texts = [None if i % 7 == 0 else "" if i % 11 == 0 else f"{i} {'plain words ' * 200}{added}" for i in range(4000)]
+    batch = pa.array(["left out", *texts], type=kind).slice(1)
+    tracemalloc.start()
+    out = text._nfkc.func(batch)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out.type == kind
+    assert out.to_pylist() == [None if t is None else unicodedata.normalize("NFKC", t) for t in texts]
+    # The batch as Python text: 15 MB.
+    assert peak < 4_000_000
+
+
+def test_normal_and_other_pieces_of_a_batch(monkeypatch):
+    monkeypatch.setattr(text, "_PIECE_CHARS", 3)
+    texts = ["\xe9\xe8", None, "\xe9\xe8", "\u2026", "", None, "\uff34\uff48\uff45", "\xe9\xe8\xea\xe9", "a\u0301", "\ufdfa", None]
+    for first in range(len(texts) + 1):
+        for end in range(first, len(texts) + 1):
+            out = text._nfkc.func(pa.array(texts, type=pa.string()).slice(first, end - first))
+            assert out.to_pylist() == [t and unicodedata.normalize("NFKC", t) for t in texts[first:end]]
+
+
 MODEL = T.StructType([
     T.StructField("name", T.StringType()),
     T.StructField("category", T.StringType(), False, {"min_length": 1}),
