@@ -29,8 +29,10 @@ def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def in_blocks(rows: DataFrame, by: list[str], prefix: str, extra: dict[str, Callable[[pa.Table], float]] | None = None) -> DataFrame:
-    """One row for each distinct ``by``: keys, row numbers, vectors (and limits) as bytes. Groups must be bounded."""
+def in_blocks(
+    rows: DataFrame, by: list[str], prefix: str, extra: dict[str, Callable[[pa.Table], float]] | None = None, pack: Callable[[np.ndarray], np.ndarray] = np.ascontiguousarray
+) -> DataFrame:
+    """One row for each distinct ``by``: keys, row numbers, vectors (and limits) as bytes, the vectors as ``pack`` gives them. Groups must be bounded."""
     extra = extra or {}
     names = [f"{prefix}_{n}" for n in ("keys", "rows", "vecs", "least")] + list(extra)
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
@@ -40,7 +42,7 @@ def in_blocks(rows: DataFrame, by: list[str], prefix: str, extra: dict[str, Call
     def fold(group: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by([("key", "ascending"), ("row", "ascending")])
         blobs = [table.column(c).to_numpy().tobytes() for c in ("key", "row")]
-        blobs.append(np.ascontiguousarray(matrix(table.column("vec"))).tobytes())
+        blobs.append(pack(matrix(table.column("vec"))).tobytes())
         blobs.append(table.column("least").to_numpy().tobytes() if limited else b"")
         arrays = [pa.array([g.as_py()], g.type) for g in group] + [pa.array([b], pa.binary()) for b in blobs]
         return pa.Table.from_arrays(arrays + [pa.array([float(f(table))]) for f in extra.values()], names=by + names)

@@ -408,6 +408,37 @@ def test_top_k_is_exact(vectors):
     assert len(got[300]) == 10 and topk.top_k(table.limit(0), 5, 20).count() == 0
 
 
+def test_top_k_gathers_bounded_rotations(frame, monkeypatch):
+    """The driver gets a quarter of the singular vectors, and of several dimensions those with most rows that fit the limit."""
+    rng = np.random.default_rng(8)
+    x = [rng.standard_normal((30, 8)) * np.arange(1, 9), rng.standard_normal((20, 12)), rng.standard_normal((25, 8))]
+    rows = frame("dim int, vec array<double>", [(m.shape[1], v.tolist()) for m in x for v in m]).repartition(3)
+    monkeypatch.setattr(topk, "ROTATION_BYTES", 300, raising=False)
+    got = topk.rotations(rows)
+    assert {dim: turn.shape for dim, turn in got.items()} == {8: (8, 2)}
+    true = np.linalg.svd(np.r_[x[0], x[2]])[2][:2].T
+    assert np.allclose(np.abs((got[8] * true).sum(0)), 1)
+    assert topk.rotations(rows.limit(0)) == {} and topk.rotations(rows, max_dim=7) == {}
+
+
+@pytest.mark.parametrize("room", [1 << 20, 4096, 0])
+def test_top_k_in_a_grid_is_exact(frame, monkeypatch, room):
+    """Many bands and stripes, numbers of 16, 32 and 64 bits, ties across blocks, with rotations and without."""
+    rng = np.random.default_rng(9)
+    x = [*rng.standard_normal((300, 6)) * rng.lognormal(size=(300, 1)), *np.full((60, 6), 0.5), *rng.standard_normal((12, 6)) * 1e4, *rng.standard_normal((6, 6)) * 1e9, *rng.standard_normal((40, 3))]
+    ids = rng.permutation(len(x)).tolist()
+    for name, value in (("CANDIDATES", 16), ("QUERIES", 8), ("CELL_BYTES", 4096), ("ROTATION_BYTES", room)):
+        monkeypatch.setattr(topk, name, value, raising=False)
+    table = frame("vec_id bigint, embedding array<double>", [(i, v.tolist()) for i, v in zip(ids, x, strict=True)]).repartition(3)
+    whole = [[int(np.floor(256 * c)) for c in v] for v in x]
+    want = []
+    for i, q in zip(ids, whole, strict=True):
+        if i % 3 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(q, v, strict=True)), j) for j, v in zip(ids, whole, strict=True) if j != i and len(v) == len(q))
+            want += [(i, n + 1, j, min(max(-s, -(2**63)), 2**63 - 1)) for n, (s, j) in enumerate(scored[:4])]
+    assert sorted(map(tuple, topk.top_k(table, 4, 3).collect())) == sorted(want)
+
+
 def test_nearest_finds_most(spark, vectors):
     table, rows = vectors
     assert {r["query_id"] for r in ann.nearest(table, 20, 20).collect()} == {*range(0, 340, 20), 400, 460}
