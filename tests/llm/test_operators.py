@@ -413,15 +413,15 @@ def test_top_k_gathers_bounded_rotations(frame, monkeypatch):
     rng = np.random.default_rng(8)
     x = [rng.standard_normal((30, 8)) * np.arange(1, 9), rng.standard_normal((20, 12)), rng.standard_normal((25, 8))]
     rows = frame("dim int, vec array<double>", [(m.shape[1], v.tolist()) for m in x for v in m]).repartition(3)
-    monkeypatch.setattr(topk, "ROTATION_BYTES", 300, raising=False)
+    monkeypatch.setattr(topk, "ROTATION_BYTES", 150, raising=False)
     got = topk.rotations(rows)
     assert {dim: turn.shape for dim, turn in got.items()} == {8: (8, 2)}
     true = np.linalg.svd(np.r_[x[0], x[2]])[2][:2].T
-    assert np.allclose(np.abs((got[8] * true).sum(0)), 1)
+    assert np.allclose(np.abs((got[8] * true).sum(0)), 1, rtol=1e-4) and np.linalg.norm(got[8], 2) <= 1
     assert topk.rotations(rows.limit(0)) == {} and topk.rotations(rows, max_dim=7) == {}
 
 
-@pytest.mark.parametrize("room", [1 << 20, 4096, 0])
+@pytest.mark.parametrize("room", [1 << 20, 0])
 def test_top_k_in_a_grid_is_exact(frame, monkeypatch, room):
     """Many bands and stripes, numbers of 16, 32 and 64 bits, ties across blocks, with rotations and without."""
     rng = np.random.default_rng(9)
